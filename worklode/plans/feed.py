@@ -12,6 +12,8 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 
+from worklode.plans.rule_feed import RULE_FEED
+
 BASE_TABLES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
     "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
@@ -160,6 +162,8 @@ FEED: dict[str, str] = {
         from {part} group by concat(p_name, ' ', p_brand)""",
 }
 
+FEED.update(RULE_FEED)
+
 _REF = re.compile(r"\{(\w+)\}")
 
 

@@ -220,14 +220,15 @@ def _(t):
 
 
 @query("value_or_alias_member", "J-21", """
-    with d as (select p_type, p_name from {part} where p_size < 4),
-    names as (select p_type as v from d union select p_name from d)
-    select p_partkey, p_name from {part} where p_name not in (select v from names)""")
+    with d as (select p_brand, p_name from {part} where p_size < 2),
+    names as (select p_brand as v from d union select unnest(string_split(p_name, ' ')) from d)
+    select p_partkey, p_name from {part}
+    where p_brand not in (select v from names) or split_part(p_name, ' ', 1) not in (select v from names)""")
 def _(t):
-    small = t.part.filter("p_size < 4")
-    dims = small.groupBy("p_type").agg(F.collect_set("p_name").alias("aliases"))
-    members = dims.select(F.explode(F.concat(F.array("p_type"), "aliases")).alias("v")).distinct()
-    return t.part.join(members, F.col("p_name") == F.col("v"), "left_anti").select("p_partkey", "p_name")
+    dims = t.part.filter("p_size < 2").select("p_brand", F.split("p_name", " ").alias("aliases"))
+    names = dims.select(F.explode(F.concat(F.array("p_brand"), "aliases")).alias("v")).distinct()
+    parts = t.part.select("p_partkey", "p_name", "p_brand", F.split_part("p_name", F.lit(" "), F.lit(1)).alias("word"))
+    return joins.orphans_of_any(parts, [(names, "p_brand", "v"), (names, "word", "v")]).select("p_partkey", "p_name")
 
 
 @query("append_only_new", "J-22 M-03", """
@@ -341,11 +342,9 @@ def _(t):
 
 
 @query("invalid_value_sample", "A-08", """
-    select source_name, count(*) as rows_in_group, list_sort(list(distinct status)) as statuses from {quarantine} group by 1""")
+    select source_name, count(*) as rows_in_group, list_sort(list(distinct status)) as values from {quarantine} group by 1""")
 def _(t):
-    return t.quarantine.groupBy("source_name").agg(
-        F.count(F.lit(1)).alias("rows_in_group"), agg.sample_of_values("status").alias("statuses")
-    )
+    return agg.value_samples(t.quarantine, ["source_name"], "status")
 
 
 @query("conditional_counts", "A-02 A-03 A-09", """
