@@ -76,7 +76,7 @@ def seniority(role: Column) -> Column:
 
 def location_parts(location: Column) -> list[Column]:
     """City, state and country of 'city', 'city, country' or 'city, state, country'."""
-    parts = F.transform(F.split(location, ","), F.trim)
+    parts = F.transform(F.split(location, ","), lambda p: F.trim(p))
     size = F.size(parts)
     return [
         F.element_at(parts, 1).alias("city"),

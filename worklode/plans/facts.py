@@ -65,7 +65,7 @@ def source_dimension(records: DataFrame, existing: DataFrame, source: str, seen:
 
 def taxonomy_dimension(taxonomy: DataFrame, existing: DataFrame, natural: str, id_col: str, words: str) -> DataFrame:
     """Dimension from a taxonomy whose word list is pipe-separated; keys of known entries are kept."""
-    listed = taxonomy.withColumn(words, F.filter(F.transform(F.split(words, r"\|"), F.trim), lambda w: w != ""))
+    listed = taxonomy.withColumn(words, F.filter(F.transform(F.split(words, r"\|"), lambda w: F.trim(w)), lambda w: w != ""))
     return extend_keys(existing, listed, [natural], id_col)
 
 
