@@ -168,8 +168,13 @@ _REF = re.compile(r"\{(\w+)\}")
 
 
 def _needs(sql: str) -> list[str]:
-    """Names in ``{braces}``, in order, without repeats."""
-    return list(dict.fromkeys(_REF.findall(sql)))
+    """Table names in ``{braces}``, in order, without repeats."""
+    return [n for n in dict.fromkeys(_REF.findall(sql)) if n in FEED or n in BASE_TABLES]
+
+
+def _plain(sql: str) -> str:
+    """SQL with ``{table}`` replaced by ``table``; other braces (in patterns) stay."""
+    return _REF.sub(lambda m: m.group(1) if m.group(1) in FEED or m.group(1) in BASE_TABLES else m.group(0), sql)
 
 
 def _feed_closure(sql: str) -> list[str]:
@@ -189,8 +194,8 @@ def _feed_closure(sql: str) -> list[str]:
 
 def with_feed(sql: str) -> str:
     """SQL text for the checks: feed tables named in ``{braces}`` become common table expressions."""
-    ctes = ",\n".join(f"{n} as ({_REF.sub(lambda m: m.group(1), FEED[n])})" for n in _feed_closure(sql))
-    body = _REF.sub(lambda m: m.group(1), sql).strip()
+    ctes = ",\n".join(f"{n} as ({_plain(FEED[n])})" for n in _feed_closure(sql))
+    body = _plain(sql).strip()
     if not ctes:
         return body
     if body.lower().startswith("with recursive"):
