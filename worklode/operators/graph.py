@@ -42,8 +42,9 @@ def co_occurrence_edges(pairs: DataFrame) -> DataFrame:
 
 
 def prerequisite_edges(rules: DataFrame, items: DataFrame, item: str, name: str) -> DataFrame:
-    """Edges from a rule table (name, requires, weight) whose two ends are both known items."""
-    ends = items.select(F.col(item).alias("_id"), F.lower(F.trim(name)).alias("_n"))
+    """Edges from a rule table (name, requires, weight) whose two ends are both known items.  A name used
+    by several items stands for the one with the smallest id."""
+    ends = items.groupBy(F.lower(F.trim(name)).alias("_n")).agg(F.min(item).alias("_id"))
     left = rules.withColumn("_n", F.lower(F.trim("name"))).join(ends.withColumnRenamed("_id", "source"), "_n").drop("_n")
     both = left.withColumn("_n", F.lower(F.trim("requires"))).join(ends.withColumnRenamed("_id", "target"), "_n")
     return both.select("source", "target", F.col("weight").cast("double").alias("weight"), F.lit("REQUIRES").alias("edge_type"))
@@ -56,7 +57,7 @@ def similarity_edges(items: DataFrame, item: str, category: str, weight: float =
     of the category.  They are found among the first ``keep + 1`` members: the result equals pruning
     all pairs, at a cost linear in the number of items.
     """
-    nodes = items.select(F.col(item).alias("_id"), F.col(category).alias("_c")).dropna().distinct()
+    nodes = items.select(F.col(item).cast("string").alias("_id"), F.col(category).alias("_c")).dropna().distinct()
     heads = best_per_key(nodes, ["_c"], [F.asc("_id")], keep + 1).withColumnRenamed("_id", "target")
     edges = nodes.join(heads, "_c").filter(F.col("_id") != F.col("target"))
     kept = best_per_key(edges, ["_id"], [F.asc("target")], keep)
