@@ -1,0 +1,303 @@
+"""Behaviour on small literal tables."""
+
+import datetime as dt
+
+import pytest
+from pyspark.sql import functions as F
+
+from worklode.functions import text as tx
+from worklode.operators import classify, identity, matching, quality, quarantine, scd2, upsert
+from worklode.operators.dictionaries import literal_dictionary
+from worklode.plans.facts import date_dimension, lifecycle_class
+
+
+def ts(day: str, clock: str = "00:00:00") -> dt.datetime:
+    return dt.datetime.fromisoformat(f"{day} {clock}")
+
+
+def column(df, expr, order="id"):
+    return [r.x for r in df.orderBy(order).select(expr.alias("x")).collect()]
+
+
+def texts(spark, *values):
+    return spark.createDataFrame(list(enumerate(values)), "id int, s string")
+
+
+# Text rules -------------------------------------------------------------------------------------
+
+
+def test_legal_forms_are_only_dropped_as_whole_words(spark):
+    df = texts(spark, " Vincent, Inc. ", "Acme GmbH", "LLCorp", None)
+    assert column(df, tx.stored_company_name(F.col("s"))) == ["VINCENT", "ACME", "LLCORP", None]
+
+
+def test_matching_name(spark):
+    df = texts(spark, "Acme-Corp., Ltd", "The  Company Store", "co", None)
+    assert column(df, tx.matching_company_name(F.col("s"))) == ["acme", "the store", "", ""]
+
+
+def test_title_location_and_seniority(spark):
+    df = texts(spark, " data ENGINEER ", "new york")
+    assert column(df, tx.stored_title(F.col("s"))) == ["DATA ENGINEER", "NEW YORK"]
+    assert column(df, tx.stored_location(F.col("s"))) == ["Data Engineer", "New York"]
+    roles = texts(spark, "Senior Dev", "Lead Dev", "Junior Dev", "Chief Dev", "Dev")
+    assert column(roles, tx.seniority(F.col("s"))) == ["SENIOR", "SENIOR", "ENTRY", "EXECUTIVE", "MID"]
+
+
+def test_remote_type(spark):
+    rows = [(0, None, None, None), (1, "Berlin", False, "on site"), (2, "Remote", False, None), (3, "Berlin", True, "hybrid"),
+            (4, "hybrid", False, "office"), (5, None, True, ""), (6, "", None, "Work remotely")]
+    df = spark.createDataFrame(rows, "id int, loc string, flag boolean, d string")
+    got = column(df, tx.remote_type(F.col("loc"), F.col("flag"), F.col("d")))
+    assert got == ["UNKNOWN", "ONSITE", "REMOTE", "HYBRID", "ONSITE", "UNKNOWN", "REMOTE"]
+
+
+def test_record_hash_keeps_fields_in_place(spark):
+    df = spark.createDataFrame([(0, "a", None), (1, None, "a"), (2, "a", "")], "id int, x string, y string")
+    a, b, c = column(df, tx.record_hash(["x", "y"]))
+    assert a != b and a == c and len(a) == 64
+    assert column(df, tx.is_sha256(tx.record_hash(["x", "y"]))) == [True] * 3
+
+
+def test_location_parts(spark):
+    df = texts(spark, "Berlin", "Berlin, Germany", "Austin, TX, USA")
+    got = [tuple(r) for r in df.orderBy("id").select(*tx.location_parts(F.col("s"))).collect()]
+    assert got == [("Berlin", None, "Unknown"), ("Berlin", None, "Germany"), ("Austin", "TX", "USA")]
+
+
+def test_quarantine_reasons(spark):
+    rows = [(0, None, "Dev", "ok", ts("2026-06-01")), (1, "", "Win!!!", "ok", ts("2026-06-01")), (2, "A", "Easy money!!!", "x", ts("2026-06-01")),
+            (3, "A", "Dev", "$$$$", ts("2026-06-01")), (4, "A", "Dev", "a" * 5001, ts("2026-06-01")), (5, "A", "Dev", "ok", ts("2027-06-07")),
+            (6, "A", "Dev", "ok", ts("2000-01-01")), (7, "A", "Dev", "ok", ts("2026-06-01"))]
+    df = spark.createDataFrame(rows, "id int, company string, title string, description string, posted_at timestamp")
+    got = column(df, tx.quarantine_reason(["company", "title"], F.col("title"), F.col("description"), F.col("posted_at"), "2026-06-07"))
+    missing, bad_date, odd = "MISSING_REQUIRED_FIELD", "INVALID_DATE", "SUSPICIOUS_CONTENT"
+    assert got == [missing, missing, odd, odd, odd, bad_date, bad_date, None]
+
+
+# Change detection and upserts -------------------------------------------------------------------
+
+JOB = "job_id string, source_name string, record_hash string, is_active boolean, last_seen timestamp"
+
+
+def test_only_stale_absent_jobs_of_read_sources_are_deleted(spark):
+    now = ts("2026-06-07")
+    staged = spark.createDataFrame([("job_001", "s1", "h", True, now)], JOB)
+    current = spark.createDataFrame(
+        [("job_001", "s1", "h", True, now), ("job_002", "s1", "h", True, ts("2026-05-20")), ("job_003", "s1", "h", True, ts("2026-06-05")),
+         ("job_004", "s2", "h", True, ts("2026-01-01")), ("job_005", "s1", "h", False, ts("2026-01-01"))], JOB)
+    got = {r.job_id: r.change_type for r in upsert.classify_changes(staged, current, "job_id", "source_name", "2026-06-07", 7).collect()}
+    assert got == {"job_001": "UNCHANGED", "job_002": "DELETE", "job_003": "KEEP", "job_004": "KEEP", "job_005": "KEEP"}
+
+
+def test_null_hash_is_a_change(spark):
+    now = ts("2026-06-07")
+    staged = spark.createDataFrame([("a", "s", None, True, now), ("b", "s", None, True, now), ("c", "s", "x", True, now)], JOB)
+    current = spark.createDataFrame([("a", "s", "x", True, now), ("b", "s", None, True, now)], JOB)
+    got = {r.job_id: r.change_type for r in upsert.classify_changes(staged, current, "job_id", "source_name", "2026-06-07", 7).collect()}
+    assert got == {"a": "UPDATE", "b": "UNCHANGED", "c": "INSERT"}
+
+
+def test_changes_conserve_keys_and_upsert_is_idempotent(spark):
+    target = spark.createDataFrame([(i, f"t{i}") for i in range(20)], "k int, v string")
+    source = spark.createDataFrame([(i, f"s{i}") for i in range(10, 30)], "k int, v string")
+    once = upsert.upsert(target, source, ["k"])
+    twice = upsert.upsert(once, source, ["k"])
+    assert sorted(once.collect()) == sorted(twice.collect()) and once.count() == 30
+
+
+def test_repeated_source_key_is_an_error(spark):
+    source = spark.createDataFrame([(1, "a"), (1, "b")], "k int, v string")
+    with pytest.raises(Exception, match="repeats a key"):
+        upsert.one_row_per_key(source, ["k"]).collect()
+
+
+def test_partial_update_keeps_other_columns(spark):
+    target = spark.createDataFrame([(1, "a", 10), (2, "b", 20)], "k int, v string, n int")
+    source = spark.createDataFrame([(2, None, 99), (3, "c", 30)], "k int, v string, n int")
+    got = sorted(upsert.update_columns(target, source, ["k"], ["v"], insert=True).collect(), key=lambda r: r.k)
+    # A matched null is taken over; inserts fill the updated columns and leave the others null or given.
+    assert [tuple(r) for r in got[:2]] == [(1, "a", 10), (2, None, 20)] and got[2].k == 3 and got[2].v == "c"
+
+
+def test_change_log_and_undo(spark):
+    before = spark.createDataFrame([(1, "a", None), (2, "b", "x"), (3, "c", "y")], "k int, v string, w string")
+    after = spark.createDataFrame([(1, "a", None), (2, "B", None), (4, "d", "z")], "k int, v string, w string")
+    log = upsert.change_log(after, before, "k", ["v", "w"])
+    kinds = {r.k: (r.change_type, r.changed_columns) for r in log.collect()}
+    assert kinds == {2: ("UPDATE", ["v", "w"]), 3: ("DELETE", None), 4: ("INSERT", None)}
+    assert sorted(upsert.undo_batch(after, log, "k", ["v", "w"]).collect()) == sorted(before.collect())
+
+
+def test_soft_delete_logs_the_state_before_and_skips_done_rows(spark):
+    schema = "job_id int, is_active boolean, soft_delete_flag boolean, soft_delete_reason string"
+    jobs = spark.createDataFrame([(1, True, False, None), (2, False, True, "old"), (3, True, False, None)], schema)
+    ids = spark.createDataFrame([(1,), (2,), (1,)], "job_id int")
+    state, log = upsert.soft_delete(jobs, ids, "job_id", True, "spam", "2026-06-07")
+    assert [(r.job_id, r.is_active, r.soft_delete_reason) for r in state.orderBy("job_id").collect()] == [(1, False, "spam"), (2, False, "old"), (3, True, None)]
+    assert [(r.job_id, r.old_value_json) for r in log.collect()] == [(1, '{"is_active":true,"soft_delete_flag":false}')]
+    back, _ = upsert.soft_delete(state, ids, "job_id", False, "appeal", "2026-06-08")
+    assert all(r.is_active for r in back.collect())
+
+
+def test_rollback_dry_run_and_repeat(spark):
+    schema = "job_id int, batch_id string, is_active boolean, soft_delete_flag boolean, soft_delete_reason string"
+    jobs = spark.createDataFrame([(1, "b1", True, False, None), (2, "b2", True, False, None)], schema)
+    ledger = spark.createDataFrame([("b1", "SUCCESS"), ("b2", "SUCCESS")], "batch_id string, status string")
+    same, _, audit = upsert.roll_back_batch(jobs, ledger, "b1", "batch_id", dry_run=True)
+    assert sorted(same.collect()) == sorted(jobs.collect()) and audit.first().records_affected == 1
+    state, ledger2, _ = upsert.roll_back_batch(jobs, ledger, "b1", "batch_id")
+    assert {r.job_id: r.is_active for r in state.collect()} == {1: False, 2: True}
+    _, _, again = upsert.roll_back_batch(state, ledger2, "b1", "batch_id")
+    assert again.first().records_affected == 0
+
+
+# History ----------------------------------------------------------------------------------------
+
+HISTORY = "job_id int, v string, h string, effective_from timestamp, effective_to timestamp, is_current boolean"
+
+
+def apply(history, changes):
+    return scd2.apply_history(history, changes, "job_id", ["v"], "h", "at", F.date_trunc("month", "effective_from"))
+
+
+def test_history_of_several_changes_in_one_load(spark):
+    history = spark.createDataFrame([(1, "a", "a", ts("2026-01-01"), None, True), (2, "x", "x", ts("2026-01-01"), ts("2026-02-01"), False)], HISTORY)
+    changes = spark.createDataFrame(
+        [(1, "a", "a", ts("2026-02-01")), (1, "b", "b", ts("2026-03-01")), (1, "b", "b", ts("2026-04-01")), (1, "c", "c", ts("2026-04-01", "10:00:00")),
+         (1, "d", "d", ts("2026-04-01", "11:00:00")), (2, "y", "y", ts("2026-05-01")), (3, "n", "n", ts("2026-05-01"))],
+        "job_id int, v string, h string, at timestamp")
+    got = apply(history, changes)
+    ones = [(r.v, r.effective_from, r.effective_to) for r in got.filter("job_id = 1").orderBy("effective_from").collect()]
+    assert ones == [("a", ts("2026-01-01"), ts("2026-03-01")), ("b", ts("2026-03-01"), ts("2026-04-01", "10:00:00")),
+                    ("c", ts("2026-04-01", "10:00:00"), ts("2026-04-01", "11:00:00")), ("d", ts("2026-04-01", "11:00:00"), None)]
+    # Deleted and recreated: the old interval stays, nothing is valid in the gap.
+    assert scd2.version_at(got, "2026-03-15 00:00:00").filter("job_id = 2").count() == 0
+    assert [r.v for r in scd2.version_at(got, "2026-06-01 00:00:00").orderBy("job_id").collect()] == ["d", "y", "n"]
+    assert {r.n for r in got.filter("is_current").groupBy("job_id").agg(F.count("*").alias("n")).collect()} == {1}
+    assert scd2.interval_faults(got.filter("job_id <> 2"), "job_id", F.date_trunc("month", "effective_from")).count() == 0
+
+
+def test_history_is_idempotent(spark):
+    history = spark.createDataFrame([(1, "a", "a", ts("2026-01-01"), None, True)], HISTORY)
+    changes = spark.createDataFrame([(1, "b", "b", ts("2026-03-01")), (2, "n", "n", ts("2026-03-01"))], "job_id int, v string, h string, at timestamp")
+    once = apply(history, changes)
+    assert sorted(map(str, apply(once, changes).collect())) == sorted(map(str, once.collect()))
+
+
+# Classification and matching --------------------------------------------------------------------
+
+
+def test_sector_by_company_then_title(spark):
+    df = spark.createDataFrame([(0, "Acme Software Bank", "nurse"), (1, "Acme", "Senior Nurse"), (2, None, None)], "id int, c string, t string")
+    got = [(r.sector, r.assignment_method, r.sector_confidence) for r in classify.assign_sector(df, "c", "t").orderBy("id").collect()]
+    assert got == [("technology", "company_pattern", 0.85), ("healthcare", "title_keyword", 0.75), ("unknown", "no_match", 0.0)]
+
+
+def test_sector_scores_title_twice_and_ties_to_the_lower_id(spark):
+    words = literal_dictionary([{"sector_id": 1, "words": ["software", "cloud"]}, {"sector_id": 3, "words": ["nurse", "health"]}], ["sector_id", "words"])
+    df = spark.createDataFrame([(0, "Software nurse", "health"), (1, "software", "nurse health"), (2, "x", None)], "id int, t string, d string")
+    got = [(r.sector_id, r.sector_score, r.second_sector_id) for r in classify.score_sectors(df, "t", "d", words).orderBy("id").collect()]
+    assert got == [(3, 3, 1), (1, 2, 3), (-1, 0, None)]
+
+
+def test_skills_take_the_first_keyword_and_escape_it(spark):
+    words = literal_dictionary(
+        [{"skill": "c++", "words": ["c++", "cpp"], "sector": None}, {"skill": "java", "words": ["java"], "sector": None},
+         {"skill": "cnc", "words": ["cnc"], "sector": "31"}], ["skill", "words", "sector"])
+    df = spark.createDataFrame([(0, "We use C++ and javascript\nand CNC here", "32"), (1, "cnc only", "62")], "id int, d string, s string")
+    got = sorted((r.id, r.skill, r.skill_raw, r.evidence) for r in classify.extract_skills(df, "id", F.col("d"), words, F.col("s")).collect())
+    assert got == [(0, "c++", "c++", "we use c++ and javascript"), (0, "cnc", "cnc", "and cnc here"), (0, "java", "java", "we use c++ and javascript")]
+    whole = classify.extract_skills(df, "id", F.col("d"), words, F.col("s"), whole_words=True)
+    assert sorted(r.skill for r in whole.collect()) == ["c++", "cnc"]
+
+
+def test_role_matching_order(spark):
+    aliases = literal_dictionary(
+        [{"alias": "software engineer", "role": "Software Engineer", "boost": 1.0}, {"alias": "swe", "role": "Software Engineer", "boost": 0.9},
+         {"alias": "engineer", "role": "Engineer", "boost": 1.0}], ["alias", "role", "boost"])
+    df = texts(spark, "SWE (m/w/d)", "senior software engineer", "engine", "Data  Scientist II", "zzz")
+    got = {r.s: (r.role, r.method) for r in classify.match_roles(df, "s", aliases).collect()}
+    assert got["SWE (m/w/d)"] == ("Software Engineer", "dictionary")
+    assert got["senior software engineer"] == ("Software Engineer", "dictionary_fuzzy")
+    assert got["engine"] == ("Engineer", "dictionary_fuzzy")
+    assert got["Data  Scientist II"] == ("Data Scientist", "regex")
+    assert got["zzz"] == (None, None)
+
+
+def test_catalog_priority_zero_wins_and_ids_are_stable(spark):
+    sources = spark.createDataFrame([("Python", "lang", 0), ("python ", "ext", 1), ("Go", "ext", 2)], "skill_name string, category string, priority int")
+    catalog = spark.createDataFrame([("id1", "PYTHON", "old"), ("id2", "Perl", "old")], "skill_id string, skill_name string, category string")
+    got = {r.skill_name: (r.skill_id, r.category, r.sync_state) for r in classify.sync_catalog(sources, catalog).collect()}
+    assert got["Python"] == ("id1", "lang", "UPDATED") and got["Perl"] == ("id2", "old", "KEPT") and got["Go"][2] == "NEW"
+    again = {r.skill_name: r.skill_id for r in classify.sync_catalog(sources, catalog).collect()}
+    assert again["Go"] == got["Go"][0]
+
+
+def test_canonicalize_cascade(spark):
+    names = spark.createDataFrame([(0, "Acme Inc."), (1, "Initech Ltd"), (2, "Globex Corporatio"), (3, "Unknown Firm"), (4, "ab"), (5, "ACME")], "id int, n string")
+    canon = spark.createDataFrame([(1, "Acme"), (2, "Initech Systems"), (3, "Globex Corporatix")], "canonical_id int, canonical_name string")
+    aliases = spark.createDataFrame([(2, "Initech")], "canonical_id int, alias string")
+    got = {r.id: (r.canonical_id, r.match_method) for r in matching.canonicalize(names, "n", canon, aliases).collect()}
+    assert got == {0: (1, "exact"), 1: (2, "alias"), 2: (3, "fuzzy"), 3: (None, "no_match"), 5: (1, "exact")}
+    matched = matching.canonicalize(names, "n", canon, aliases)
+    mapping, review, fresh = matching.company_outputs(matched, "id", "n")
+    assert mapping.count() == 4 and review.count() == 1 and fresh.first().canonical_name == "Unknown Firm"
+
+
+def test_cross_source_copies(spark):
+    rows = [("a", "remotive", "acme", "dev", "berlin", "text", ts("2026-01-02")), ("b", "arbeitnow", "acme", "dev", "berlin", "text", ts("2026-01-01")),
+            ("c", "remotive", "acme", "dev", "munich", "other", ts("2026-01-03")), ("d", "remotive", "acme", "ops", "berlin", "text", ts("2026-01-01"))]
+    jobs = spark.createDataFrame(rows, "id string, source string, company string, title string, location string, d string, posted timestamp")
+    keyed = identity.match_keys(jobs, "id", "source", "company", "title", "location", "d", ["posted"])
+    best = identity.best_partner(identity.cross_source_partners(keyed, "id", "source", ["posted"]), "id")
+    assert {r.id: (r.match_rule, r.partner_id) for r in best.collect()} == {"a": ("EXACT_MATCH", "b"), "b": ("EXACT_MATCH", "a"), "c": ("COMPANY_TITLE", "b")}
+    kept = identity.keep_first_posting(jobs, ["company", "title"], "posted", F.when(F.col("source") == "arbeitnow", 1).otherwise(0), "id")
+    assert sorted(r.id for r in kept.collect()) == ["b", "d"]
+
+
+def test_decisions(spark):
+    queue = spark.createDataFrame([("1", "role", "A", "pending"), ("2", "role", "B", "pending"), ("3", "role", None, "pending"), ("4", "role", "D", "pending")],
+                                  "review_id string, entity_type string, suggested string, status string")
+    decisions = spark.createDataFrame([("1", "approve", None), ("2", "reject", None), ("3", "create", "New")], "review_id string, decision string, new_value string")
+    state, mappings, audit = matching.apply_decisions(queue, decisions)
+    assert {r.review_id: r.status for r in state.collect()} == {"1": "resolved", "2": "rejected", "3": "resolved", "4": "pending"}
+    assert {r.review_id: r.mapped_value for r in mappings.collect()} == {"1": "A", "3": "New"} and audit.count() == 3
+
+
+# Quality, quarantine, facts ---------------------------------------------------------------------
+
+
+def test_flags_take_the_worst_status(spark):
+    df = spark.createDataFrame([(0, "x", 5), (1, None, 5), (2, "x", 50), (3, None, 50)], "id int, s string, n int")
+    flagged = quality.flag_rows(df, {"s": ("FAIL", F.col("s").isNull()), "n": ("WARN", F.col("n") > 10)})
+    got = [(r.dq_overall_status, r.failed_rules) for r in flagged.orderBy("id").collect()]
+    assert got == [("PASS", []), ("FAIL", ["s"]), ("WARN", ["n"]), ("FAIL", ["s", "n"])]
+
+
+def test_retention_archives_before_it_deletes(spark):
+    rows = [(1, "PENDING", ts("2026-06-01")), (2, "DISCARDED", ts("2026-05-01")), (3, "DISCARDED", ts("2026-05-28"))]
+    q = spark.createDataFrame(rows, "quarantine_id int, status string, quarantined_at timestamp")
+    empty = q.limit(0)
+    left, archive, _ = quarantine.apply_retention(q, empty, "2026-06-07")
+    assert left.count() == 3 and sorted(r.quarantine_id for r in archive.collect()) == [2, 3]
+    left2, archive2, _ = quarantine.apply_retention(left, archive, "2026-06-07")
+    assert sorted(r.quarantine_id for r in left2.collect()) == [1, 3] and archive2.count() == 2
+    dry, same, _ = quarantine.apply_retention(q, empty, "2026-06-07", dry_run=True)
+    assert dry.count() == 3 and same.count() == 0
+
+
+def test_lifecycle_classes(spark):
+    rows = [(0, "INSERT", "false", "true", "false", "false", "JOB_CREATED"), (1, "DELETE", "true", "false", "false", "true", "JOB_DELETED"),
+            (2, "UPDATE", "false", "true", "false", "false", "JOB_ACTIVATED"), (3, "UPDATE", "true", "false", "false", "true", "JOB_DEACTIVATED"),
+            (4, "UPDATE", "true", "true", "false", "true", "JOB_SOFT_DELETED"), (5, "UPDATE", "true", "true", "true", "false", "JOB_RESTORED"),
+            (6, "UPDATE", "true", "true", "false", "false", "JOB_UPDATED"), (7, "OTHER", None, None, None, None, "UNKNOWN_TRANSITION")]
+    df = spark.createDataFrame(rows, "id int, change_type string, old_is_active string, new_is_active string, old_soft_delete string, new_soft_delete string, want string")
+    assert column(df, lifecycle_class()) == [r[-1] for r in rows]
+
+
+def test_fiscal_year_starts_in_its_named_year(spark):
+    df = spark.createDataFrame([(ts("2020-03-30"), ts("2020-04-02"))], "a timestamp, b timestamp")
+    days = date_dimension(df, F.min("a"), F.max("b"), fiscal_start_month=4).orderBy("date_sk").collect()
+    assert [(r.date_sk, r.fiscal_year, r.fiscal_quarter, r.day_of_week) for r in days] == [
+        (20200330, 2019, 4, 1), (20200331, 2019, 4, 2), (20200401, 2020, 1, 3), (20200402, 2020, 1, 4)]

@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-SPLIT_ABOVE = 100_000  # distinct values per group beyond which the group is cut into ranges
+SPLIT_ABOVE = 1_000_000  # rows per group beyond which the group is cut into value ranges
 RANGES = 256
 
 
@@ -26,36 +26,69 @@ def exact_percentiles(
 ) -> DataFrame:
     """One row per key: linear-interpolated percentiles {column: probability}, and the row count.
 
-    Equal values are counted first.  Groups with more than ``split_above`` distinct values are cut
-    into value ranges by approximate quantiles (only to balance the work); a running count over the
-    ranges turns ranks inside a range into ranks inside the group, so the result stays exact while no
-    task sorts a whole hot group.
+    Groups of up to ``split_above`` rows are sorted as a whole (``_sorted_percentiles``).  Larger groups
+    are ranked over value ranges instead (``_ranked_percentiles``), so no task ever sorts a hot group.
+    Both give the same, exact result.
     """
-    counted = df.filter(F.col(value).isNotNull()).groupBy(*keys, F.col(value).alias("_v")).agg(
-        F.count(F.lit(1)).alias("_n")
+    rows = df.filter(F.col(value).isNotNull()).select(*keys, F.col(value).alias("_v"))
+    hot = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > split_above).select(*keys)
+
+    def part(how: str) -> DataFrame:
+        return rows.alias("c").join(hot.alias("h"), same_keys("c", "h", keys), how)
+
+    found = _sorted_percentiles(part("left_anti"), keys, probabilities).unionByName(
+        _ranked_percentiles(part("left_semi"), keys, probabilities)
     )
-    sizes = counted.groupBy(*keys).agg(F.sum("_n").alias("_total"), F.count(F.lit(1)).alias("_distinct"))
-    hot = sizes.filter(F.col("_distinct") > split_above)
-    steps = [i / RANGES for i in range(1, RANGES)]
-    cuts = (
-        counted.alias("c")
-        .join(hot.alias("h"), same_keys("c", "h", keys), "left_semi")
-        .groupBy(*keys)
-        .agg(F.percentile_approx("_v", steps, 10 * RANGES).alias("_cuts"))
+    return found.select(*keys, *probabilities, *([F.col("_total").alias(count_col)] if count_col else []))
+
+
+def _interpolated(probabilities: dict[str, float], first: Column, last: Column) -> tuple[list[Column], list[Column]]:
+    """(aggregates picking the values at the two ranks around each probability, their interpolation)."""
+
+    def at(rank: Column) -> Column:
+        return F.max(F.when((first <= rank) & (rank <= last), F.col("_v")))
+
+    picks, outs = [F.max("_total").alias("_total")], []
+    for name, p in probabilities.items():
+        place = F.lit(p) * (F.col("_total") - 1)
+        picks += [at(F.floor(place)).alias(f"_lo_{name}"), at(F.ceil(place)).alias(f"_hi_{name}")]
+        low, high = F.col(f"_lo_{name}").cast("double"), F.col(f"_hi_{name}").cast("double")
+        outs.append((low + (high - low) * (place - F.floor(place))).alias(name))
+    return picks, outs
+
+
+def _sorted_percentiles(rows: DataFrame, keys: list[str], probabilities: dict[str, float]) -> DataFrame:
+    """Percentiles of bounded groups: one shuffle and sort by key and value, then the wanted ranks."""
+    whole = Window.partitionBy(*keys)
+    ranked = rows.withColumn("_at", F.row_number().over(whole.orderBy("_v")) - 1).withColumn(
+        "_total", F.count(F.lit(1)).over(whole)
     )
+    picks, outs = _interpolated(probabilities, F.col("_at"), F.col("_at"))
+    return ranked.groupBy(*keys).agg(*picks).select(*keys, *outs, "_total")
+
+
+def _ranked_percentiles(rows: DataFrame, keys: list[str], probabilities: dict[str, float]) -> DataFrame:
+    """Percentiles of large groups by rank.
+
+    Equal values are counted first.  Approximate quantiles cut each group into value ranges (only to
+    balance the work); a running count over the ranges turns ranks inside a range into ranks inside
+    the group, so the result is exact.
+    """
+    counted = rows.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_n"))
+    steps = [i / RANGES for i in range(1, RANGES)]
+    cuts = counted.groupBy(*keys).agg(F.percentile_approx("_v", steps, 10 * RANGES).alias("_cuts"))
     ranged = (
         counted.alias("c")
-        .join(cuts.alias("k"), same_keys("c", "k", keys), "left")
+        .join(cuts.alias("k"), same_keys("c", "k", keys))
         .select(
             *[F.col(f"c.{k}").alias(k) for k in keys], "_v", "_n",
-            F.when(F.col("_cuts").isNull(), 0)
-            .otherwise(F.size(F.filter("_cuts", lambda c: c < F.col("_v")))).alias("_range"),
+            F.size(F.filter("_cuts", lambda c: c < F.col("_v"))).alias("_range"),
         )
     )
     # Ranges of a group, with the number of rows before each and in the whole group.
-    spans = ranged.groupBy(*keys, "_range").agg(F.sum("_n").alias("_in"))
     whole = Window.partitionBy(*keys)
     ahead = whole.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    spans = ranged.groupBy(*keys, "_range").agg(F.sum("_n").alias("_in"))
     spans = spans.withColumn("_before", F.coalesce(F.sum("_in").over(ahead), F.lit(0))).withColumn(
         "_total", F.sum("_in").over(whole)
     )
@@ -71,17 +104,5 @@ def exact_percentiles(
         )
     )
 
-    def at(rank: Column) -> Column:
-        return F.max(F.when((F.col("_first") <= rank) & (rank <= F.col("_last")), F.col("_v")))
-
-    picks, outs = [], []
-    for name, p in probabilities.items():
-        position = F.lit(p) * (F.col("_total") - 1)
-        picks += [at(F.floor(position)).alias(f"_lo_{name}"), at(F.ceil(position)).alias(f"_hi_{name}")]
-        place = F.lit(p) * (F.col("_total") - 1)
-        low, high = F.col(f"_lo_{name}").cast("double"), F.col(f"_hi_{name}").cast("double")
-        outs.append((low + (high - low) * (place - F.floor(place))).alias(name))
-    grouped = placed.groupBy(*keys).agg(F.max("_total").alias("_total"), *picks)
-    if count_col:
-        outs.append(F.col("_total").alias(count_col))
-    return grouped.select(*keys, *outs)
+    picks, outs = _interpolated(probabilities, F.col("_first"), F.col("_last"))
+    return placed.groupBy(*keys).agg(*picks).select(*keys, *outs, "_total")

@@ -145,7 +145,7 @@ def _(t):
     return publish.data_period(publish.manifest(bundle(t)[0], {"orders": "date_sk"}, AS_OF))
 
 
-@query("bundle_round_trip", "IO-11 IO-12 IO-17", """
+@query("bundle_round_trip", "IO-11 IO-12 IO-17 S-05", """
     select 'orders' as table_name, count(*) as expected_rows, count(*) as found_rows, 'OK' as result from {orders}
     union all select 'customer', count(*), count(*), 'OK' from {customer} union all select 'part', count(*), count(*), 'OK' from {part}""")
 def _(t):

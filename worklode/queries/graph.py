@@ -51,7 +51,8 @@ def small_items(t):
 
 
 BRAND_ITEMS = "select skill_sk as item, skill_name as name, skill_category as category from {skills}"
-BRAND_RULES = """select skill_name as name, ' brand#1' as requires, cast(0.9 as double) as weight from {skills} where skill_sk > 10"""
+BRAND_RULES = """select skill_name as name, concat(' brand#', cast(skill_sk - 10 as string)) as requires, cast(0.9 as double) as weight
+    from {skills} where skill_sk > 10"""
 BRAND_EDGES = f"""
     it as ({BRAND_ITEMS}),
     req as (select a.item as source, b.item as target, weight, 'REQUIRES' as edge_type from ({BRAND_RULES}) r
