@@ -27,6 +27,14 @@ def table_dictionary(df: DataFrame, fields: list[str], order: list[str]) -> Colu
     return listed.select(checked).scalar()
 
 
+def bounded_set(df: DataFrame, column: str) -> Column:
+    """The distinct values of an enum-like column as an array; more than ``LARGEST`` stop the job."""
+    few = df.select(F.col(column).alias("v")).dropna().distinct().limit(LARGEST + 1)
+    listed = few.agg(F.collect_list("v").alias("s"))
+    too_many = F.raise_error(F.lit(f"{column} has more than {LARGEST} values")).cast(listed.schema["s"].dataType)
+    return listed.select(F.when(F.size("s") <= LARGEST, F.col("s")).otherwise(too_many)).scalar()
+
+
 def bind(value: Column, use) -> Column:
     """``use(value)`` with ``value`` evaluated once, however often ``use`` refers to it in a lambda."""
     return F.transform(F.array(value), use)[0]

@@ -19,13 +19,6 @@ def top_n_with_ties(df: DataFrame, keys: list[str], order: list[Column], n: int,
     return df.withColumn(rank_col, F.dense_rank().over(window)).filter(F.col(rank_col) <= n)
 
 
-def top_share_of_sum(df: DataFrame, keys: list[str], attribute: str, measure: str, out: str) -> DataFrame:
-    """Per key, the attribute with the largest summed measure; ties go to the smaller attribute."""
-    totals = df.groupBy(*keys, attribute).agg(F.sum(measure).alias("_total"))
-    best = best_per_key(totals, keys, [F.col("_total").desc(), F.col(attribute).asc()])
-    return best.select(*keys, F.col(attribute).alias(out))
-
-
 def shifted(
     df: DataFrame, keys: list[str], order: list[str], values: dict[str, str], bucket: Column, back: bool = True
 ) -> DataFrame:

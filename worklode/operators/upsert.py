@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from worklode.operators.dictionaries import bounded_set
 from worklode.operators.ranking import best_per_key
 
 
@@ -70,18 +71,18 @@ def classify_changes(staged: DataFrame, current: DataFrame, key: str, source: st
     DELETE needs the key to be absent from the staged rows, active, last seen more than ``stale_days``
     before ``as_of``, and its source to be among the staged sources (an unread source deletes nothing).
     """
-    sources = staged.select(F.col(source).alias("_src")).distinct().withColumn("_read", F.lit(True))
+    read = bounded_set(staged, source)  # feeds are few; the list is checked to be
     s = staged.select(F.col(key).alias("_sk"), F.col(source).alias("_ss"), F.col("record_hash").alias("_sh"))
     c = current.select(
         F.col(key).alias("_ck"), F.col(source).alias("_cs"), F.col("record_hash").alias("_ch"), "is_active", "last_seen"
     )
-    joined = s.join(c, F.col("_sk") == F.col("_ck"), "full").join(sources, F.col("_cs") == F.col("_src"), "left")
+    joined = s.join(c, F.col("_sk") == F.col("_ck"), "full")
     stale = F.datediff(F.lit(as_of).cast("date"), F.col("last_seen")) > stale_days
     kind = (
         F.when(F.col("_ck").isNull(), "INSERT")
         .when(F.col("_sk").isNotNull() & ~F.col("_sh").eqNullSafe(F.col("_ch")), "UPDATE")
         .when(F.col("_sk").isNotNull(), "UNCHANGED")
-        .when(F.col("is_active") & stale & F.col("_read"), "DELETE")
+        .when(F.col("is_active") & stale & F.array_contains(read, F.col("_cs")), "DELETE")
         .otherwise("KEEP")
     )
     return joined.select(

@@ -136,11 +136,11 @@ def lifecycle_fact(changes: DataFrame, versions: DataFrame, done: DataFrame) ->
     already in the fact are left out after the time in state is known."""
     timed = shifted(
         changes.withColumn("event_class", lifecycle_class()), ["job_id"], ["changed_at", "change_id"],
-        {"previous_at": "changed_at"}, F.date_trunc("week", "changed_at"),
+        {"previous_at": "changed_at"}, F.date_trunc("hour", "changed_at"),
     ).withColumn("days_in_previous_state", F.datediff("changed_at", "previous_at"))
     fresh = timed.join(done.select("change_id"), "change_id", "left_anti")
     found = value_as_of(
-        fresh, versions, "job_id", "changed_at", "effective_from", "effective_to", ["version_sk"], F.to_date("_at")
+        fresh, versions, "job_id", "changed_at", "effective_from", "effective_to", ["version_sk"], F.date_trunc("hour", "_at")
     )
     return found.withColumn("job_sk", F.coalesce("version_version_sk", F.lit(UNKNOWN_KEY))).drop("version_version_sk")
 

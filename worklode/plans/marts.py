@@ -2,15 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from worklode.functions.dates import key_days_before, key_to_date
-from worklode.operators.aggregates import count_where, distinct_where, exact_mean, guarded_ratio
+from worklode.operators.aggregates import count_where, distinct_where, guarded_ratio
 from worklode.operators.quantiles import exact_percentiles
-from worklode.operators.ranking import (
-    best_per_key, change_ratio, rolling_mean, top_n_with_ties, top_share_of_sum,
-)
+from worklode.operators.ranking import best_per_key, change_ratio, rolling_mean, top_n_with_ties
 from worklode.operators.rollups import explode_levels, rollup_levels
 
 ROLLUPS = {"sector": ["sector_sk"], "role": ["role_sk"], "location": ["location_sk"]}
@@ -43,57 +41,70 @@ def hiring_trends(postings: DataFrame, closings: DataFrame, as_of: str, days: in
     )
 
 
-def company_hiring(postings: DataFrame, roles: DataFrame, locations: DataFrame, as_of: str, days: int) -> DataFrame:
-    """Per company and day: active, new in 30 days, top role, top location, remote share.
+def _with_tops(base: DataFrame, keys: list[str], tops: dict[str, tuple[str, Column]], totals: dict[str, Column]) -> DataFrame:
+    """Totals per key and, for each {output: (attribute, measure)}, the attribute with the largest summed
+    measure (ties go to the smaller attribute).
 
-    All parts are re-aggregated from one daily base, so the facts are scanned and shuffled once.
+    One grouping-sets pass counts per key and attribute, a second aggregate folds those few rows per
+    key; the facts are read and shuffled once and nothing is joined.  ``totals`` are summed over the rows
+    of the first attribute.
     """
-    base = (
-        since(postings, "posting_date_sk", as_of, days)
-        .groupBy("company_sk", F.col("posting_date_sk").alias("hiring_date_sk"), "role_sk", "location_sk", "remote_type")
-        .agg(count_where(F.col("active_flag")).alias("_active"), F.count(F.lit(1)).alias("_all"))
-    )
-    keys = ["company_sk", "hiring_date_sk"]
-    recent = F.col("hiring_date_sk") >= key_days_before(as_of, 30)
-    totals = base.groupBy(*keys).agg(
-        F.sum("_active").alias("active_jobs"),
-        F.sum(F.when(recent, F.col("_all")).otherwise(0)).alias("new_jobs_30d"),
-        F.sum(F.when(F.col("remote_type") == "REMOTE", F.col("_active")).otherwise(0)).alias("_remote"),
+    attributes = [a for a, _ in tops.values()]
+    every = [F.col(c) for c in [*keys, *attributes]]
+    sums = {f"_t_{n}": e for n, e in totals.items()} | {f"_m_{o}": m for o, (_, m) in tops.items()}
+    level = [F.grouping(a).alias(f"_g_{a}") for a in attributes]
+    counted = base.groupingSets([[F.col(c) for c in [*keys, a]] for a in attributes], *every).agg(
+        *[F.sum(e).alias(n) for n, e in sums.items()], *level
     )
-    role = named(top_share_of_sum(base, keys, "role_sk", "_active", "_r"), "_r", roles, "role_sk", "role_name", "top_role")
-    place = top_share_of_sum(base, keys, "location_sk", "_active", "_l")
-    place = named(place, "_l", locations, "location_sk", "location_name", "top_location")
-    return (
-        totals.join(role, keys, "left").join(place, keys, "left")
-        .withColumn("remote_ratio", guarded_ratio(F.col("_remote"), F.col("active_jobs"))).drop("_remote")
-    )
+    first = F.col(f"_g_{attributes[0]}") == 0
+    folded = [F.sum(F.when(first, F.col(f"_t_{n}"))).alias(n) for n in totals]
+    for out, (attribute, _) in tops.items():
+        place = F.when(F.col(f"_g_{attribute}") == 0, F.struct((-F.col(f"_m_{out}")).alias("m"), F.col(attribute).alias("a")))
+        folded.append(F.min_by(attribute, place).alias(out))
+    return counted.groupBy(*keys).agg(*folded)
+
+
+def _ones(condition: Column) -> Column:
+    return F.when(condition, F.lit(1)).otherwise(F.lit(0)).cast("bigint")
+
+
+def company_hiring(postings: DataFrame, roles: DataFrame, locations: DataFrame, as_of: str, days: int) -> DataFrame:
+    """Per company and day: active, new in 30 days, top role, top location, remote share."""
+    base = since(postings, "posting_date_sk", as_of, days).withColumnRenamed("posting_date_sk", "hiring_date_sk")
+    active = _ones(F.col("active_flag"))
+    mart = _with_tops(
+        base, ["company_sk", "hiring_date_sk"],
+        {"_role": ("role_sk", active), "_place": ("location_sk", active)},
+        {
+            "active_jobs": active,
+            "new_jobs_30d": _ones(F.col("hiring_date_sk") >= key_days_before(as_of, 30)),
+            "_remote": _ones(F.col("active_flag") & (F.col("remote_type") == "REMOTE")),
+        },
+    ).withColumn("remote_ratio", guarded_ratio(F.col("_remote"), F.col("active_jobs"))).drop("_remote")
+    mart = named(mart, "_role", roles, "role_sk", "role_name", "top_role")
+    return named(mart, "_place", locations, "location_sk", "location_name", "top_location")
 
 
 def company_activity(postings: DataFrame, roles: DataFrame, as_of: str, days: int = 30) -> DataFrame:
     """Per sector and company over the last days: active, total, top role."""
-    keys = ["sector_sk", "company_sk"]
-    base = (
-        since(postings, "posting_date_sk", as_of, days)
-        .groupBy(*keys, "role_sk")
-        .agg(count_where(F.col("active_flag")).alias("_active"), F.count(F.lit(1)).alias("_all"))
-    )
-    totals = base.groupBy(*keys).agg(F.sum("_active").alias("active_jobs"), F.sum("_all").alias("total_jobs_30d"))
-    role = named(top_share_of_sum(base, keys, "role_sk", "_active", "_r"), "_r", roles, "role_sk", "role_name", "top_role")
-    return totals.join(role, keys, "left")
+    base = since(postings, "posting_date_sk", as_of, days)
+    active = _ones(F.col("active_flag"))
+    mart = _with_tops(
+        base, ["sector_sk", "company_sk"], {"_role": ("role_sk", active)},
+        {"active_jobs": active, "total_jobs_30d": _ones(F.lit(True))},
+    )
+    return named(mart, "_role", roles, "role_sk", "role_name", "top_role")
 
 
 def hiring_activity(postings: DataFrame, roles: DataFrame, as_of: str, days: int) -> DataFrame:
     """Per sector and day: active postings, new postings, top role."""
-    keys = ["sector_sk", "hiring_date_sk"]
-    base = (
-        since(postings, "posting_date_sk", as_of, days)
-        .filter(F.col("sector_sk").isNotNull())
-        .groupBy("sector_sk", F.col("posting_date_sk").alias("hiring_date_sk"), "role_sk")
-        .agg(count_where(F.col("active_flag")).alias("_active"), count_where(F.col("is_new_job")).alias("_new"))
-    )
-    totals = base.groupBy(*keys).agg(F.sum("_active").alias("total_jobs"), F.sum("_new").alias("new_jobs"))
-    role = named(top_share_of_sum(base, keys, "role_sk", "_active", "_r"), "_r", roles, "role_sk", "role_name", "top_role")
-    return totals.join(role, keys, "left")
+    base = since(postings, "posting_date_sk", as_of, days).filter(F.col("sector_sk").isNotNull())
+    active = _ones(F.col("active_flag"))
+    mart = _with_tops(
+        base.withColumnRenamed("posting_date_sk", "hiring_date_sk"), ["sector_sk", "hiring_date_sk"],
+        {"_role": ("role_sk", active)}, {"total_jobs": active, "new_jobs": _ones(F.col("is_new_job"))},
+    )
+    return named(mart, "_role", roles, "role_sk", "role_name", "top_role")
 
 
 def location_trends(postings: DataFrame, sectors: DataFrame, as_of: str, days: int) -> DataFrame:
@@ -101,26 +112,21 @@ def location_trends(postings: DataFrame, sectors: DataFrame, as_of: str, days: i
 
     Pay keeps its sum and count through the re-aggregation, so it is a mean of rows, not of means.
     """
-    keys = ["location_sk", "trend_date_sk"]
-    paid = F.when(F.col("active_flag"), F.col("price").cast("decimal(18,2)"))
-    base = (
-        since(postings, "posting_date_sk", as_of, days)
-        .filter(F.col("location_sk").isNotNull())
-        .groupBy("location_sk", F.col("posting_date_sk").alias("trend_date_sk"), "sector_sk", "remote_type")
-        .agg(
-            count_where(F.col("active_flag")).alias("_active"),
-            F.sum(paid).alias("_pay"), F.count(paid).alias("_paid"),
-        )
-    )
-    remote, onsite = F.col("remote_type") == "REMOTE", F.col("remote_type").isin("ONSITE", "HYBRID")
-    totals = base.groupBy(*keys).agg(
-        F.sum("_active").alias("total_jobs"),
-        F.sum(F.when(remote, F.col("_active")).otherwise(0)).alias("remote_jobs"),
-        F.sum(F.when(onsite, F.col("_active")).otherwise(0)).alias("onsite_jobs"),
-        guarded_ratio(F.sum("_pay"), F.sum("_paid")).alias("avg_salary_usd"),
-    )
-    top = top_share_of_sum(base, keys, "sector_sk", "_active", "_s")
-    return totals.join(named(top, "_s", sectors, "sector_sk", "sector_name", "top_sector"), keys, "left")
+    base = since(postings, "posting_date_sk", as_of, days).filter(F.col("location_sk").isNotNull())
+    on = F.col("active_flag")
+    paid = F.when(on, F.col("price").cast("decimal(18,2)"))
+    mart = _with_tops(
+        base.withColumnRenamed("posting_date_sk", "trend_date_sk"), ["location_sk", "trend_date_sk"],
+        {"_sector": ("sector_sk", _ones(on))},
+        {
+            "total_jobs": _ones(on),
+            "remote_jobs": _ones(on & (F.col("remote_type") == "REMOTE")),
+            "onsite_jobs": _ones(on & F.col("remote_type").isin("ONSITE", "HYBRID")),
+            "_pay": paid,
+            "_paid": _ones(paid.isNotNull()),
+        },
+    ).withColumn("avg_salary_usd", guarded_ratio(F.col("_pay"), F.col("_paid"))).drop("_pay", "_paid")
+    return named(mart, "_sector", sectors, "sector_sk", "sector_name", "top_sector")
 
 
 def salary_trends(salaries: DataFrame, as_of: str, days: int, min_sample: int = 5) -> DataFrame:
@@ -159,16 +165,18 @@ def skill_facts(job_skills: DataFrame, postings: DataFrame, as_of: str, days: in
 def skill_demand(job_skills: DataFrame, postings: DataFrame, as_of: str, days: int, grand_total: bool = False) -> DataFrame:
     """Mentions, distinct postings and mean confidence per skill and day at three rollup levels."""
     facts = skill_facts(job_skills, postings, as_of, days).filter("active_flag")
-    facts = facts.withColumnRenamed("posting_date_sk", "demand_date_sk")
     levels = dict(ROLLUPS, all=[]) if grand_total else ROLLUPS
-    return rollup_levels(
-        facts, ["demand_date_sk", "skill_sk"], levels,
-        [
-            F.count(F.lit(1)).alias("mentions_count"),
-            F.countDistinct("job_sk").alias("unique_jobs_count"),
-            exact_mean("confidence").alias("avg_confidence"),
-        ],
+    # A posting has one sector, role and location, so after this aggregate it is one row per skill and
+    # the levels need no distinct count.
+    jobs = facts.groupBy(
+        F.col("posting_date_sk").alias("demand_date_sk"), "skill_sk", "sector_sk", "role_sk", "location_sk", "job_sk"
+    ).agg(F.count(F.lit(1)).alias("_n"), F.sum("confidence").alias("_sum"), F.count("confidence").alias("_known"))
+    demand = rollup_levels(
+        jobs, ["demand_date_sk", "skill_sk"], levels,
+        [F.sum("_n").alias("mentions_count"), F.count(F.lit(1)).alias("unique_jobs_count"),
+         guarded_ratio(F.sum("_sum"), F.sum("_known")).alias("avg_confidence")],
     )
+    return demand
 
 
 def skill_demand_by_sector(
@@ -184,11 +192,20 @@ def skill_demand_by_sector(
     )
     facts = facts.withColumnRenamed("posting_date_sk", "trend_date_sk")
     keys = ["trend_date_sk", "sector_sk"]
-    base = facts.groupBy(*keys, "skill_sk").agg(
-        distinct_where(active, "job_sk").alias("job_count"),
-        distinct_where(active, "company_sk").alias("company_count"),
-        distinct_where(active & (F.col("evidence_type") == "REQUIRED"), "job_sk").alias("required_count"),
-        distinct_where(active & (F.col("evidence_type") == "PREFERRED"), "job_sk").alias("preferred_count"),
+    # Fold mentions to postings, postings to companies, companies to skills: each step counts what the
+    # step before made unique, so no row is copied per distinct count.  A posting has one company.
+    required, preferred = F.col("evidence_type") == "REQUIRED", F.col("evidence_type") == "PREFERRED"
+    jobs_of = facts.groupBy(*keys, "skill_sk", "company_sk", "job_sk").agg(
+        F.max(active).alias("_on"), F.max(active & required).alias("_req"), F.max(active & preferred).alias("_pref")
+    )
+    companies_of = jobs_of.groupBy(*keys, "skill_sk", "company_sk").agg(
+        *[count_where(F.col(c)).alias(c) for c in ("_on", "_req", "_pref")]
+    )
+    base = companies_of.groupBy(*keys, "skill_sk").agg(
+        F.sum("_on").alias("job_count"),
+        count_where((F.col("_on") > 0) & F.col("company_sk").isNotNull()).alias("company_count"),
+        F.sum("_req").alias("required_count"),
+        F.sum("_pref").alias("preferred_count"),
     )
     totals = base.groupBy(*keys).agg(F.sum("job_count").alias("_mentions"))
     jobs = facts.groupBy(*keys).agg(distinct_where(active, "job_sk").alias("_jobs"))

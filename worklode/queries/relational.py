@@ -131,7 +131,7 @@ def _(t):
 def _(t):
     found = joins.value_as_of(
         t.changes, t.job_versions, "job_id", "changed_at", "effective_from", "effective_to", ["version_sk"],
-        F.to_date("_at"),
+        F.date_trunc("hour", "_at"),
     )
     return found.select("change_id", "version_version_sk")
 
@@ -411,7 +411,7 @@ def _(t):
 def _(t):
     line = ranking.shifted(
         t.changes, ["job_id"], ["changed_at", "change_id"],
-        {"prev_at": "changed_at", "prev_type": "change_type"}, F.date_trunc("week", "changed_at"),
+        {"prev_at": "changed_at", "prev_type": "change_type"}, F.date_trunc("hour", "changed_at"),
     )
     return line.select(
         "change_id", "job_id", ts_text("prev_at").alias("prev_at"), "prev_type",
@@ -506,7 +506,7 @@ def _(t):
     select event_type, strftime(wk, '%Y-%m-%d') as week, n,
            case when p > 0 then cast(n - p as double) / cast(p as double) end as growth from l""")
 def _(t):
-    weekly = t.events.groupBy("event_type", F.date_trunc("week", "ts").alias("wk")).agg(F.count(F.lit(1)).alias("n"))
+    weekly = t.events.groupBy("event_type", F.date_trunc("hour", "ts").alias("wk")).agg(F.count(F.lit(1)).alias("n"))
     p = F.lag("n").over(Window.partitionBy("event_type").orderBy("wk"))
     return weekly.select("event_type", F.date_format("wk", "yyyy-MM-dd").alias("week"), "n",
                          ranking.change_ratio(F.col("n"), p).alias("growth"))

@@ -192,7 +192,7 @@ def history(t):
     feed = t.events.filter(F.col("event_type").isin("signup", "purchase")).select(
         F.col("user_id").alias("job_id"), F.floor(F.col("value") / 20).cast("int").alias("band"), "ts"
     ).withColumn("row_hash", F.md5(F.lpad(F.col("band").cast("string"), 4, "0")))
-    return scd2.apply_history(prior, feed, "job_id", ["band"], "row_hash", "ts", F.date_trunc("week", "effective_from"))
+    return scd2.apply_history(prior, feed, "job_id", ["band"], "row_hash", "ts", F.date_trunc("hour", "effective_from"))
 
 
 @query("apply_history", "M-04 WH-09", HISTORY_SQL + f"""
@@ -236,7 +236,7 @@ def _(t):
     v = t.sql("""select event_id, user_id as job_id, ts as effective_from,
                  case when value < 10 then null when value < 20 then ts + interval 10 day else ts + interval 1 hour end as effective_to
                  from {events} where event_type = 'signup'""")
-    return scd2.interval_faults(v, "job_id", F.date_trunc("week", "effective_from")).select("event_id", "fault")
+    return scd2.interval_faults(v, "job_id", F.date_trunc("hour", "effective_from")).select("event_id", "fault")
 
 
 @query("close_bridge", "M-05 WH-10", """

@@ -102,7 +102,7 @@ def _(t):
 def _(t):
     root = place(t)
     store = TableStore(t.spark, f"{root}/tables")
-    each = streams.time_in_state(store, "timed", "user_id", ["ts", "event_id"], F.date_trunc("week", "ts"))
+    each = streams.time_in_state(store, "timed", "user_id", ["ts", "event_id"], F.date_trunc("hour", "ts"))
     arriving(t, root, lambda s: streams.run_to_function(s, each, f"{root}/checkpoint"))
     batches = [store.read(f"timed/b{i}") for i in range(3)]
     out = batches[0].unionByName(batches[1]).unionByName(batches[2])

@@ -102,29 +102,26 @@ def merge_counts(store: TableStore, name: str, keys: list[str]) -> Callable[[Dat
 def time_in_state(store: TableStore, out: str, key: str, order: list[str], bucket: Column) -> Callable[[DataFrame, int], None]:
     """Batch function: append each event with the time of the key's event before it.
 
-    The last event per key is kept as state between batches.  An event not later than that state is
-    late: it goes to ``<out>_late`` and leaves the state as it is.  Output files of a batch are replaced if
-    the batch is repeated.
+    The last event per key is kept as state, one version per batch: a repeated batch starts again from
+    the version before it and replaces its own output.  An event not later than its key's state is late;
+    it goes to ``<out>_late`` and leaves the state as it is.
     """
 
     def each(batch: DataFrame, batch_id: int) -> None:
-        known = _exists(store, f"{out}_state")
-        columns = batch.columns
-        if known:
-            last = store.read(f"{out}_state")
-            seen = last.filter(F.col("_batch") < batch_id).select(*columns)
+        columns, fresh, seen = batch.columns, batch, None
+        if batch_id > 0:
+            seen = store.read(f"{out}_state/b{batch_id - 1}")
             bound = seen.select(key, F.struct(*order).alias("_last"))
             marked = batch.join(bound, key, "left")
             late = F.coalesce(F.struct(*order) <= F.col("_last"), F.lit(False))
             store.replace(f"{out}_late/b{batch_id}", marked.filter(late).select(*columns))
             fresh = marked.filter(~late).select(*columns)
-            line = seen.withColumn("_old", F.lit(True)).unionByName(fresh.withColumn("_old", F.lit(False)))
-        else:
-            seen, fresh = None, batch
-            line = batch.withColumn("_old", F.lit(False))
+        line = fresh.withColumn("_old", F.lit(False))
+        if seen is not None:
+            line = seen.withColumn("_old", F.lit(True)).unionByName(line)
         with_previous = shifted(line, [key], order, {"previous_at": order[0]}, bucket).filter(~F.col("_old")).drop("_old")
         store.replace(f"{out}/b{batch_id}", with_previous)
-        latest = best_per_key(fresh if seen is None else seen.unionByName(fresh), [key], [F.desc(c) for c in order])
-        store.replace(f"{out}_state", latest.withColumn("_batch", F.lit(batch_id)))
+        latest = best_per_key(line.drop("_old"), [key], [F.desc(c) for c in order])
+        store.replace(f"{out}_state/b{batch_id}", latest)
 
     return each
