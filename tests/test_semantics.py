@@ -301,3 +301,61 @@ def test_fiscal_year_starts_in_its_named_year(spark):
     days = date_dimension(df, F.min("a"), F.max("b"), fiscal_start_month=4).orderBy("date_sk").collect()
     assert [(r.date_sk, r.fiscal_year, r.fiscal_quarter, r.day_of_week) for r in days] == [
         (20200330, 2019, 4, 1), (20200331, 2019, 4, 2), (20200401, 2020, 1, 3), (20200402, 2020, 1, 4)]
+
+
+def test_file_hashes_and_bundle_faults(spark, tmp_path):
+    import hashlib
+
+    from worklode.sources import publish
+
+    (tmp_path / "files").mkdir()
+    for name in ("a.txt", "b.txt"):
+        (tmp_path / "files" / name).write_text(name * 100)
+    got = {r.file_name: r.sha256 for r in publish.file_hashes(spark, str(tmp_path / "files")).collect()}
+    assert got == {n: hashlib.sha256((n * 100).encode()).hexdigest() for n in ("a.txt", "b.txt")}
+
+    df = spark.createDataFrame([(1, "x", None), (2, 'q"u,o\nte', "")], "k int, v string, w string")
+    listed = publish.manifest({"t": df, "gone": df}, {}, "2026-06-07")
+    root = str(tmp_path / "bundle")
+    publish.export_csv(df, f"{root}/t", ["k"])
+    publish.export_csv(df.filter("k = 1"), f"{root}/gone", ["k"])
+    verdicts = {r.table_name: r.result for r in publish.validate_bundle(spark, listed, {"t": df.schema, "gone": df.schema}, root).collect()}
+    assert verdicts == {"t": "OK", "gone": "ROW_COUNT"}
+    assert publish.bundle_version("2026-06-07", 3) == "2026.23.3"
+
+
+def test_ingest_splits_bad_lines(spark, tmp_path):
+    from worklode.sources import ingest
+
+    path = tmp_path / "in.json"
+    path.write_text('{"id": "1", "title": "dev"}\n{"id": "2"}\nnot json\n')
+    records = ingest.read_records(spark, str(path), "id string, title string").cache()
+    valid, rejected = ingest.split_valid(records, ["id", "title"])
+    assert [r.id for r in valid.collect()] == ["1"]
+    assert sorted(r.reject_reason for r in rejected.collect()) == ["MISSING_REQUIRED_FIELD", "NOT_JSON"]
+
+
+def test_review_queue_close(spark):
+    from worklode.operators import review
+
+    queue = spark.createDataFrame([("1", "role", 0.2, "pending"), ("2", "role", 0.5, "pending"), ("3", "role", 0.1, "resolved")],
+                                  "review_id string, entity_type string, confidence double, status string")
+    ids = spark.createDataFrame([("1",), ("3",)], "review_id string")
+    assert {r.review_id: r.status for r in review.close(queue, ids, "dismissed").collect()} == {"1": "dismissed", "2": "pending", "3": "resolved"}
+    assert [r.review_id for r in review.pending(queue, "role", 0.4).collect()] == ["1"]
+
+
+def test_stream_time_in_state_repeats_safely(spark, tmp_path):
+    from worklode.sources.tables import TableStore
+    from worklode.streaming import streams
+
+    store = TableStore(spark, str(tmp_path / "tables"))
+    each = streams.time_in_state(store, "out", "k", ["t"], F.floor(F.col("t") / 5))
+    first = spark.createDataFrame([(1, 1), (1, 4), (2, 3)], "k int, t int")
+    second = spark.createDataFrame([(1, 2), (1, 9), (2, 7)], "k int, t int")
+    each(first, 0)
+    for _ in range(2):
+        each(second, 1)
+    got = sorted((r.k, r.t, r.previous_at) for r in store.read("out/b1").collect())
+    assert got == [(1, 9, 4), (2, 7, 3)]
+    assert [(r.k, r.t) for r in store.read("out_late/b1").collect()] == [(1, 2)]

@@ -53,9 +53,10 @@ def fuzzy_pairs(names: DataFrame, name: str, canon: DataFrame, canon_name: str,
     probe = probe.select("_a", "_l", "_n", "_i", F.substring(F.col("_a"), F.col("_p") + 1, F.col("_w")).alias("_s")).distinct()
 
     limit = allowed_edits(F.greatest(F.col("p._l"), F.col("b._n")), ratio)
-    near = F.levenshtein(F.col("p._a"), F.col("b._c"))
+    # With a limit the distance stops early and is -1 beyond it.
+    near = F.call_function("levenshtein", F.col("p._a"), F.col("b._c"), limit)
     same_block = (F.col("p._n") == F.col("b._n")) & (F.col("p._i") == F.col("b._i")) & (F.col("p._s") == F.col("b._s"))
-    pairs = probe.alias("p").join(blocks.alias("b"), same_block & (near <= limit)).select("_a", "_c").distinct()
+    pairs = probe.alias("p").join(blocks.alias("b"), same_block & (near >= 0)).select("_a", "_c").distinct()
     score = 1 - F.levenshtein("_a", "_c").cast("double") / F.greatest(F.length("_a"), F.length("_c")).cast("double")
     return pairs.select(F.col("_a").alias(name), F.col("_c").alias("matched_name"), score.alias("similarity"))
 
