@@ -314,7 +314,7 @@ def test_file_hashes_and_bundle_faults(spark, tmp_path):
     got = {r.file_name: r.sha256 for r in publish.file_hashes(spark, str(tmp_path / "files")).collect()}
     assert got == {n: hashlib.sha256((n * 100).encode()).hexdigest() for n in ("a.txt", "b.txt")}
 
-    df = spark.createDataFrame([(1, "x", None), (2, 'q"u,o\nte', "")], "k int, v string, w string")
+    df = spark.createDataFrame([(1, "x", None), (2, 'q"u,o\nte', ""), (3, " pad\r\n ", "\\")], "k int, v string, w string")
     listed = publish.manifest({"t": df, "gone": df}, {}, "2026-06-07")
     root = str(tmp_path / "bundle")
     publish.export_csv(df, f"{root}/t", ["k"])

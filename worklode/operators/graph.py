@@ -84,12 +84,12 @@ def node_metrics(edges: DataFrame, types: list[str]) -> DataFrame:
 
 def typed_edges(facts: DataFrame, kinds: dict[str, tuple[str, str]]) -> DataFrame:
     """Ontology edges {type: (from column, to column)} with the number of postings behind each."""
-    def kind(name: str, a: str, b: str) -> DataFrame:
-        return facts.dropna(subset=[a, b]).groupBy(F.col(a).cast("string").alias("source"), F.col(b).cast("string").alias("target")).agg(
-            F.countDistinct("job_sk").alias("job_count")
-        ).withColumn("edge_type", F.lit(name))
-
-    return reduce(lambda x, y: x.unionByName(y), [kind(n, a, b) for n, (a, b) in kinds.items()])
+    pairs = [F.struct(F.lit(n).alias("edge_type"), F.col(a).cast("string").alias("source"), F.col(b).cast("string").alias("target"))
+             for n, (a, b) in kinds.items()]
+    rows = facts.select("job_sk", F.explode(F.array(*pairs)).alias("_e")).select("job_sk", "_e.*").dropna()
+    # Postings are made unique per edge first, so a hub is counted from partial results.
+    unique = rows.distinct()
+    return unique.groupBy("edge_type", "source", "target").agg(F.count(F.lit(1)).alias("job_count"))
 
 
 def neighbours(edges: DataFrame, hops: int, start: Column) -> DataFrame:

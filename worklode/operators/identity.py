@@ -12,7 +12,11 @@ from worklode.session import cut_lineage
 
 
 def match_keys(jobs: DataFrame, key: str, source: str, company: str, title: str, location: str, description: str, order: list[str]) -> DataFrame:
-    """One row per record and rule: rule, score, match key.  The whole description is hashed."""
+    """One row per record and rule: rule, score, match key.  The whole description is hashed.
+
+    The keys are used several times and are far smaller than the texts, so write them once
+    (``cut_lineage``) before matching.
+    """
     parts = {
         "EXACT_MATCH": [company, title, location],
         "COMPOSITE_HASH": [company, title, description],

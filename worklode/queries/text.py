@@ -10,6 +10,7 @@ from worklode.operators import classify, identity, matching
 from worklode.operators.dictionaries import literal_dictionary, match_words, table_dictionary
 from worklode.plans.feed import AS_OF
 from worklode.queries.registry import query
+from worklode.session import cut_lineage
 
 SUFFIXES = "|".join(fixed.COMPANY_SUFFIXES)
 
@@ -387,7 +388,8 @@ KEYED = """
 
 
 def keyed(t):
-    return identity.match_keys(t.text_jobs, "job_id", "source_name", "lang", "title", "n_chars", "description", ["job_id"])
+    keys = identity.match_keys(t.text_jobs, "job_id", "source_name", "lang", "title", "n_chars", "description", ["job_id"])
+    return cut_lineage(keys)
 
 
 @query("identity_partners", "T-07 J-07", f"with {KEYED} select * from partners")

@@ -12,7 +12,9 @@ from pyspark.sql import types as T
 from worklode.operators.aggregates import count_where
 from worklode.operators.upsert import upsert
 
-CSV = {"header": "true", "nullValue": "\\N", "escape": '"', "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+# Compressed files cannot be split anyway, so reading records that span lines costs nothing.
+CSV = {"header": "true", "nullValue": "\\N", "escape": '"', "multiLine": "true",
+       "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
        "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
 
 
