@@ -90,12 +90,13 @@ def needing_attention(runs: DataFrame, as_of: str, days: int, least_failures: in
 def layer_freshness(layers: dict[str, tuple[DataFrame, str]], as_of: str, hours: int) -> DataFrame:
     """Rows, newest time and age in hours of each layer, with a verdict."""
     def one(name: str, df: DataFrame, at: str) -> DataFrame:
-        return df.agg(F.count(F.lit(1)).alias("row_count"), F.max(F.col(at).cast("timestamp")).alias("newest")).select(
+        return df.agg(F.count(F.lit(1)).alias("row_count"), F.max(F.col(at).cast("timestamp_ntz")).alias("newest")).select(
             F.lit(name).alias("layer"), "row_count", "newest"
         )
 
     rows = reduce(lambda a, b: a.unionByName(b), [one(n, d, c) for n, (d, c) in layers.items()])
-    age = F.floor((F.unix_timestamp(F.lit(as_of).cast("timestamp")) - F.unix_timestamp("newest")) / 3600)
+    # Without zones, so that the age does not depend on the session's.
+    age = F.timestamp_diff("HOUR", F.date_trunc("second", "newest").cast("timestamp_ntz"), F.lit(as_of).cast("timestamp_ntz"))
     return rows.withColumn("age_hours", age).withColumn("is_fresh", F.coalesce(F.col("age_hours") <= hours, F.lit(False)))
 
 

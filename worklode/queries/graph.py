@@ -139,11 +139,13 @@ def _(t):
 
 
 @query("cross_sector_skills", "GR-08", f"""
-    with f as ({FACTS}), s as (select distinct sector_sk, skill_sk from f where role_sk = 1)
+    with f as ({FACTS}), s as (select distinct sector_sk, skill_sk, location_sk from f)
     select a.sector_sk as sector_a, b.sector_sk as sector_b, count(*) as shared_skills from s a join s b on a.skill_sk = b.skill_sk
-    and a.sector_sk < b.sector_sk group by 1, 2""")
+    and a.location_sk = b.location_sk and a.sector_sk < b.sector_sk group by 1, 2""")
 def _(t):
-    found = graph.co_occurrence(t.sql(FACTS).filter("role_sk = 1"), "skill_sk", "sector_sk", 1, 1e-9)
+    # A skill at a place is the group, its sectors are the items (a handful, so no support is needed).
+    facts = t.sql(FACTS).withColumn("skill_place", F.concat_ws("|", "skill_sk", "location_sk"))
+    found = graph.co_occurrence(facts, "skill_place", "sector_sk", 1, 1e-9)
     return found.select(F.col("item_a").alias("sector_a"), F.col("item_b").alias("sector_b"), F.col("pair_count").alias("shared_skills"))
 
 

@@ -324,13 +324,12 @@ def _(t):
 
 
 @query("dim_role", "WH-04", """
-    with r as (select distinct p_name as role_key, p_type as family_key from {part} where p_size < 5),
-    one as (select role_key, min(family_key) as family_key from r group by 1),
+    with one as (select p_name as role_key, min(p_type) as family_key from {part} group by 1),
     fam as (select p_type as family_key, count(*) as family_size from {part} group by 1)
     select role_key, family_key, family_size, role_key like 'old%' as is_senior, false as is_executive,
            row_number() over (order by role_key) as role_sk from one left join fam using (family_key)""")
 def _(t):
-    roles = t.part.filter("p_size < 5").groupBy(F.col("p_name").alias("role_key")).agg(F.min("p_type").alias("family_key"))
+    roles = t.part.groupBy(F.col("p_name").alias("role_key")).agg(F.min("p_type").alias("family_key"))
     roles = roles.withColumn("seniority", F.when(F.col("role_key").like("old%"), "senior").otherwise("mid"))
     families = t.part.groupBy(F.col("p_type").alias("family_key")).agg(F.count(F.lit(1)).alias("family_size"))
     nothing = t.part.limit(0).select(F.col("p_name").alias("role_key"), F.lit(0).cast("bigint").alias("role_sk"))

@@ -4,9 +4,12 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from worklode.functions.text import matching_sector_name
+from worklode.operators.dictionaries import table_dictionary
+
 # Column layouts of the four taxonomy files (pipe-separated word lists).
 TAXONOMY_SCHEMAS = {
     "sectors": "sector_key string, sector_name string, parent_sector string, naics_code string, keywords string",
@@ -41,3 +44,29 @@ def load_catalogs(spark: SparkSession, configs: list[dict]) -> DataFrame:
                          F.lit(c["priority"]).alias("priority"))
 
     return reduce(lambda a, b: a.unionByName(b), [one(c) for c in configs])
+
+
+def role_dictionary(roles: DataFrame) -> Column:
+    """Alias list for ``classify.match_roles`` from the role taxonomy: the canonical title counts 1.0, an
+    alias 0.9; an alias listed for several roles belongs to the first role key."""
+    words = exploded_words(roles, "aliases", "alias")
+    own = F.when(F.col("alias") == F.lower("canonical_role"), 1.0).otherwise(0.9)
+    first = words.groupBy("alias").agg(
+        F.min_by(F.struct(F.col("canonical_role").alias("role"), own.alias("boost"), F.col("role_key").alias("key")), "role_key").alias("r")
+    )
+    return table_dictionary(first.select("alias", "r.*"), ["alias", "role", "boost"], ["key", "alias"])
+
+
+def skill_dictionary(skills: DataFrame) -> Column:
+    """Keyword list for ``classify.extract_skills`` from the skill taxonomy, in the file's word order."""
+    words = F.filter(F.transform(F.split(F.lower("aliases"), r"\|"), lambda w: F.trim(w)), lambda w: w != "")
+    rows = skills.select(F.col("canonical_skill").alias("skill"), words.alias("words"), F.col("sector_key").alias("sector"), "skill_key")
+    return table_dictionary(rows, ["skill", "words", "sector"], ["skill_key"])
+
+
+def sector_dictionary(sectors: DataFrame) -> Column:
+    """Keyword list for ``classify.normalize_sectors`` from the sector taxonomy (top level 1, below it 2)."""
+    words = exploded_words(sectors, "keywords", "keyword").withColumn("keyword", matching_sector_name(F.col("keyword")))
+    level = F.when(F.coalesce("parent_sector", F.lit("")) == "", 1).otherwise(2)
+    rows = words.filter("keyword <> ''").select("keyword", F.col("sector_key").alias("code"), level.alias("level")).distinct()
+    return table_dictionary(rows, ["keyword", "code", "level"], ["keyword", "code"])
