@@ -14,27 +14,19 @@ from worklode.session import cut_lineage
 
 #: Characters that separate words: the space and the controls from tab to carriage return.
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
-_LOWER = str.maketrans({chr(c): chr(c + 32) for c in range(ord("A"), ord("Z") + 1)})
-_SPLIT_LIKE = str.maketrans({chr(c): " " for c in range(9, 14)})
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def lower_ascii(text: str) -> str:
-    """A-Z to a-z, all other characters as they are."""
-    return text.lower() if text.isascii() else text.translate(_LOWER)
+def words_of(text: str | None, lower: bool = False) -> list[bytes]:
+    """Words in UTF-8: maximal runs of characters other than the space and tab to carriage return; A-Z lowered if asked for.
 
-
-def words_of(text: str) -> list[str]:
-    """Maximal runs of characters other than the space and tab to carriage return."""
-    return text.split() if text.isascii() and not _has_separators(text) else WORD.findall(text)
-
-
-def _has_separators(text: str) -> bool:
-    # str.split() also breaks at the information separators, which are word characters here.
-    return "\x1c" in text or "\x1d" in text or "\x1e" in text or "\x1f" in text
+    These six characters are the ones that ``bytes.split`` and ``bytes.lower`` know, and no part of other UTF-8 characters.
+    """
+    data = text.encode() if text else b""
+    return data.lower().split() if lower else data.split()
 
 
 def blocks(batch: pa.RecordBatch, step: int = 256) -> Iterator[list[list]]:
@@ -44,6 +36,20 @@ def blocks(batch: pa.RecordBatch, step: int = 256) -> Iterator[list[list]]:
         yield [column.to_pylist() for column in part.columns]
 
 
+def reachable(df: DataFrame) -> DataFrame:
+    """Let the Python workers of this session import this package from where the driver has it."""
+    root, env = str(Path(__file__).resolve().parents[2]), df.sparkSession.sparkContext.environment
+    paths = [p for p in env.get("PYTHONPATH", "").split(":") if p]
+    if root not in paths:
+        env["PYTHONPATH"] = ":".join([*paths, root])
+    return df
+
+
+def map_batches(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
+    """``mapInArrow`` with this package at hand."""
+    return reachable(df).mapInArrow(fn, schema)
+
+
 def map_rows(df: DataFrame, fn: Callable[[list[list]], list[list]], schema: str) -> DataFrame:
     """Apply ``fn`` (lists of columns in, lists of columns out) to small blocks of rows, within tasks."""
     from pyspark.sql.pandas.types import to_arrow_schema
@@ -58,7 +64,7 @@ def map_rows(df: DataFrame, fn: Callable[[list[list]], list[list]], schema: str)
                 out = fn(columns)
                 yield pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(out, arrow)], schema=arrow)
 
-    return df.mapInArrow(run, schema)
+    return map_batches(df, run, schema)
 
 
 def remainder(id_col: str, divisor: int) -> Column:
@@ -94,5 +100,5 @@ class Cache(dict):
 
 
 __all__ = [
-    "WORD", "Cache", "blocks", "cut_lineage", "lower_ascii", "map_rows", "read_file", "remainder", "table", "words_of",
+    "WORD", "Cache", "blocks", "cut_lineage", "map_batches", "map_rows", "reachable", "read_file", "remainder", "table", "words_of",
 ]

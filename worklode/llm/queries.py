@@ -7,18 +7,24 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from worklode.llm import piece_bpe
+from worklode.llm import piece_bpe, token_counts
 from worklode.llm.common import table
 
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
 
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every document; over the limit are those of more than 4096."""
+    return token_counts.count_tokens(table(spark, sf_dir, "documents"), PIECES)
+
+
 def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Encode and decode every document; the ids and the decoded text as digests."""
     return piece_bpe.round_trip(table(spark, sf_dir, "documents"), PIECES)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op7_token_counts": op7_token_counts,
     "op10_sentencepiece": op10_sentencepiece,
 }
 
