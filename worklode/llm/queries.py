@@ -7,12 +7,17 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from worklode.llm import piece_bpe, token_counts
+from worklode.llm import piece_bpe, simhash, token_counts
 from worklode.llm.common import table
 
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
 
+def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of 4-word shingles of every document, linked at 4 or fewer differing bits."""
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"), size=4, budget=4)
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every document; over the limit are those of more than 4096."""
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), PIECES)
@@ -24,6 +29,7 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_simhash": op2_simhash,
     "op7_token_counts": op7_token_counts,
     "op10_sentencepiece": op10_sentencepiece,
 }
