@@ -45,7 +45,7 @@ def reachable(df: DataFrame) -> DataFrame:
     return df
 
 
-def map_batches(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
+def map_batches(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema) -> DataFrame:
     """``mapInArrow`` with this package at hand."""
     return reachable(df).mapInArrow(fn, schema)
 
@@ -67,6 +67,18 @@ def map_rows(df: DataFrame, fn: Callable[[list[list]], list[list]], schema: str)
     return map_batches(df, run, schema)
 
 
+def keep_rows(df: DataFrame, columns: list[str], fn: Callable[[list[list]], list[bool]]) -> DataFrame:
+    """The rows of ``df`` for which ``fn`` (lists of the named columns in) says so; all columns pass by untouched."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            seen = batch.select(columns)
+            for start, part in zip(range(0, batch.num_rows, 256), blocks(seen)):
+                yield batch.slice(start, 256).filter(pa.array(fn(part), pa.bool_()))
+
+    return map_batches(df, run, df.schema)
+
+
 def remainder(id_col: str, divisor: int) -> Column:
     """crc32 of the id written as text, modulo ``divisor``."""
     return F.crc32(F.col(id_col).cast("string").cast("binary")) % divisor
@@ -100,5 +112,5 @@ class Cache(dict):
 
 
 __all__ = [
-    "WORD", "Cache", "blocks", "cut_lineage", "map_batches", "map_rows", "reachable", "read_file", "remainder", "table", "words_of",
+    "WORD", "Cache", "blocks", "cut_lineage", "keep_rows", "map_batches", "map_rows", "reachable", "read_file", "remainder", "table", "words_of",
 ]
