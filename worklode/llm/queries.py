@@ -7,8 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from worklode.llm import piece_bpe, simhash, token_counts
-from worklode.llm.common import table
+from worklode.llm import language, piece_bpe, quality_forest, simhash, token_counts
+from worklode.llm.common import remainder, table
 
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
@@ -18,6 +18,20 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), size=4, budget=4)
 
 
+def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learned from two thirds of them."""
+    docs = table(spark, sf_dir, "documents")
+    held_out = (remainder("doc_id", 3) == 1).alias("held_out")
+    model = language.fit(docs.filter(~held_out))
+    out = language.identify(docs, model)
+    return out.select("doc_id", held_out, "lang_pred", "score", "rejected")
+
+
+def op9_quality_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rule counts and verdict of every document, calibrated on the labels."""
+    return quality_forest.assess(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every document; over the limit are those of more than 4096."""
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), PIECES)
@@ -30,6 +44,8 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_simhash": op2_simhash,
+    "op4_language": op4_language,
+    "op9_quality_forest": op9_quality_forest,
     "op7_token_counts": op7_token_counts,
     "op10_sentencepiece": op10_sentencepiece,
 }
