@@ -242,14 +242,13 @@ def encoder(key: str, v: Vocabulary) -> Encoder:
     return _ENCODERS[key]
 
 
-def encode_documents(
-    docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", decoded: bool = False
-) -> DataFrame:
-    """Ids of every whole text, with begin and end, and the text decoded from them if asked for.
-
-    Columns: the id, ``ids`` array<int>, ``decoded`` string (null unless ``decoded``).  A null text counts as empty, and an
-    empty text has begin and end only.  Rows are mapped one to one within their tasks; ids may be null or repeat; an empty
-    table gives an empty result.  The vocabulary is broadcast: its size is that of the model file, whatever the input.
+def encode_documents(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", decoded: bool = False) -> DataFrame:
+    """Ids of every whole text, with begin and end, checked by decoding them; the decoded text too if asked for.
+
+    Columns: the id, ``n_tokens``, ``ids`` array<int>, ``exact`` (the decoded text is the text), ``decoded`` (null unless
+    asked for).  A null text counts as empty, and an empty text has begin and end only.  Rows are mapped one to one within
+    their tasks; ids may be null or repeat; an empty table gives an empty result.  The vocabulary is broadcast: its size is
+    that of the model file, whatever the input.
     """
     v = read_vocabulary(path)
     key = hashlib.sha256(read_file(path)).hexdigest()
@@ -259,10 +258,13 @@ def encode_documents(
     def run(columns):
         e = encoder(key, held.value)
         out = [np.frombuffer(begin + e.encode(t or "") + end, "<u4").astype(np.int32) for t in columns[1]]
-        return [columns[0], out, [e.decode(i.tolist()) if decoded else None for i in out]]
+        back = [e.decode(i.tolist()) for i in out]
+        exact = [b == (t or "") for b, t in zip(back, columns[1])]
+        return [columns[0], [len(i) for i in out], out, exact, back if decoded else [None] * len(out)]
 
     id_type = docs.schema[id_col].dataType.simpleString()
-    return map_rows(docs.select(id_col, text_col), run, f"{id_col} {id_type}, ids array<int>, decoded string")
+    schema = f"{id_col} {id_type}, n_tokens long, ids array<int>, exact boolean, decoded string"
+    return map_rows(docs.select(id_col, text_col), run, schema)
 
 
 def round_trip(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from worklode.llm import language, piece_bpe, quality_forest, simhash, token_counts
+from worklode.llm import language, piece_bpe, quality_forest, simhash, source_mix, token_counts
 from worklode.llm.common import remainder, table
 
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
@@ -27,6 +27,12 @@ def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", held_out, "lang_pred", "score", "rejected")
 
 
+def op8_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rates of every document that bring good and poor tokens to nine to one and toxic ones to none."""
+    labelled = source_mix.label_domains(table(spark, sf_dir, "labels"))
+    return source_mix.mix(table(spark, sf_dir, "documents"), labelled, {"good": 0.9, "poor": 0.1, "toxic": 0.0})
+
+
 def op9_quality_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rule counts and verdict of every document, calibrated on the labels."""
     return quality_forest.assess(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
@@ -45,6 +51,7 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_simhash": op2_simhash,
     "op4_language": op4_language,
+    "op8_source_mix": op8_source_mix,
     "op9_quality_forest": op9_quality_forest,
     "op7_token_counts": op7_token_counts,
     "op10_sentencepiece": op10_sentencepiece,

@@ -218,3 +218,15 @@ def near_duplicates(
     named = fps.join(groups.join(names, "cluster"), "fp", "left").select("fp", F.coalesce("name", "least").alias("component_id"))
     out = rows.join(named, "fp").select(id_col, F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
     return out
+
+
+def keep_one(docs: DataFrame, size: int, budget: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The document with the smallest id of each class, with all its columns; of rows with one id, one stays.
+
+    Rows without an id pass as they are: nothing tells them apart, and no class can be named by them.
+    """
+    named = docs.filter(F.col(id_col).isNotNull())
+    classes = near_duplicates(named, size, budget, id_col, text_col)
+    kept = classes.filter(F.col(id_col) == F.col("component_id")).select(id_col).distinct()
+    one = named.join(kept, id_col, "left_semi").dropDuplicates([id_col])
+    return one.unionByName(docs.filter(F.col(id_col).isNull()))
