@@ -2,20 +2,17 @@
 
 from __future__ import annotations
 
-import re
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import _parse_datatype_string
 
 from worklode.session import cut_lineage
 
-#: Characters that separate words: the space and the controls from tab to carriage return.
-WORD = re.compile(r"[^\x20\x09-\x0D]+")
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -50,19 +47,23 @@ def map_batches(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator
     return reachable(df).mapInArrow(fn, schema)
 
 
+def arrow_schema(schema: str) -> pa.Schema:
+    """Arrow's form of a schema string; on the driver only."""
+    return to_arrow_schema(_parse_datatype_string(schema))
+
+
+def record_batch(columns: Sequence, schema: pa.Schema) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(columns, schema)], schema=schema)
+
+
 def map_rows(df: DataFrame, fn: Callable[[list[list]], list[list]], schema: str) -> DataFrame:
     """Apply ``fn`` (lists of columns in, lists of columns out) to small blocks of rows, within tasks."""
-    from pyspark.sql.pandas.types import to_arrow_schema
-    from pyspark.sql.types import StructType, _parse_datatype_string
-
-    kind: StructType = _parse_datatype_string(schema)
-    arrow = to_arrow_schema(kind)
+    arrow = arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for columns in blocks(batch):
-                out = fn(columns)
-                yield pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(out, arrow)], schema=arrow)
+                yield record_batch(fn(columns), arrow)
 
     return map_batches(df, run, schema)
 
@@ -112,5 +113,5 @@ class Cache(dict):
 
 
 __all__ = [
-    "WORD", "Cache", "blocks", "cut_lineage", "keep_rows", "map_batches", "map_rows", "reachable", "read_file", "remainder", "table", "words_of",
+    "Cache", "arrow_schema", "blocks", "cut_lineage", "keep_rows", "map_batches", "map_rows", "reachable", "read_file", "record_batch", "remainder", "table", "words_of",
 ]

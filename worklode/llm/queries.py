@@ -6,13 +6,20 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from worklode.llm import language, piece_bpe, quality_forest, simhash, source_mix, token_counts
+from worklode.llm import bit_slices, chat, language, piece_bpe, quality_forest, simhash, source_mix, token_counts
 from worklode.llm.common import remainder, table
 
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
 
+def op1_bit_sliced_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five best rows for each vector whose id is divisible by 50."""
+    rows = table(spark, sf_dir, "embeddings")
+    return bit_slices.search(bit_slices.build_index(rows), rows.filter(F.col("vec_id") % 50 == 0), k=5)
+
+
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of 4-word shingles of every document, linked at 4 or fewer differing bits."""
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), size=4, budget=4)
@@ -38,6 +45,14 @@ def op9_quality_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_forest.assess(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op5_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations and one that holds the template's own marks, formatted and read back."""
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    marks = "\\### Assistant: </turn> ok"
+    own = spark.createDataFrame([(-7, 0, "user", marks), (-7, 1, "assistant", marks)], rows.schema)
+    return chat.read_back(chat.format_conversations(rows.unionByName(own))).drop("attachment_tokens")
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every document; over the limit are those of more than 4096."""
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), PIECES)
@@ -49,12 +64,45 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_bit_sliced_top_k": op1_bit_sliced_top_k,
     "op2_simhash": op2_simhash,
     "op4_language": op4_language,
+    "op5_chat": op5_chat,
     "op8_source_mix": op8_source_mix,
     "op9_quality_forest": op9_quality_forest,
     "op7_token_counts": op7_token_counts,
     "op10_sentencepiece": op10_sentencepiece,
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op1_bit_sliced_top_k": """
+        with v as (
+            select vec_id, list_transform(embedding, lambda x: floor(256 * cast(x as double))) as e from embeddings
+            where vec_id is not null and embedding is not null
+              and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+        ), s as (
+            select q.vec_id as query_id, c.vec_id, cast(list_dot_product(q.e, c.e) as bigint) as score
+            from v q join v c on q.vec_id % 50 = 0 and c.vec_id <> q.vec_id
+        )
+        select query_id, cast(row_number() over (partition by query_id order by score desc, vec_id) as integer) as rank, vec_id, score
+        from s qualify rank <= 5
+    """,
+    "op5_chat": r"""
+        with own as (select unnest(['user', 'assistant']) as role, '\### Assistant: </turn> ok' as text), t as (
+            select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+            union all select -7, case role when 'user' then 0 else 1 end, role, text from own
+        ), e as (
+            select *,
+                replace(replace(replace(replace(text, '\', '\\'), '###', '\#\#\#'), '</turn>', '\</turn>'), '<|', '\<|') as t,
+                replace(replace(replace(replace(replace(role, '\', '\\'), '###', '\#\#\#'), '</turn>', '\</turn>'), '<|', '\<|'),
+                    ':', '\:') as r
+            from t
+        )
+        select conv_id, count(*) as n_turns,
+            sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn nulls first, role, text)) as turns_sha256,
+            cast(coalesce(sum(length(text)) filter (role = 'assistant'), 0) as bigint) as loss_chars,
+            sha256(coalesce(string_agg(text, '' order by turn nulls first, role, text) filter (role = 'assistant'), '')) as loss_sha256,
+            cast(sum(length('### ' || r || ': ' || t || '</turn>' || chr(10))) as bigint) as formatted_chars
+        from e group by conv_id
+    """,
+}
