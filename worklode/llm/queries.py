@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from worklode.llm import bit_slices, chat, language, piece_bpe, quality_forest, simhash, source_mix, token_counts
+from worklode.llm import bit_slices, chat, language, piece_bpe, quality_forest, simhash, source_mix, token_counts, wrappers
 from worklode.llm.common import remainder, table
 
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
@@ -53,6 +53,11 @@ def op5_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(chat.format_conversations(rows.unionByName(own))).drop("attachment_tokens")
 
 
+def op6_wrappers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return wrappers.extract(table(spark, sf_dir, "pages"))
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every document; over the limit are those of more than 4096."""
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), PIECES)
@@ -68,6 +73,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_simhash": op2_simhash,
     "op4_language": op4_language,
     "op5_chat": op5_chat,
+    "op6_wrappers": op6_wrappers,
     "op8_source_mix": op8_source_mix,
     "op9_quality_forest": op9_quality_forest,
     "op7_token_counts": op7_token_counts,
