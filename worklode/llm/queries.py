@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from worklode.llm import bit_slices, chat, language, piece_bpe, quality_forest, simhash, source_mix, token_counts, wrappers
+from worklode.llm import bit_slices, chat, language, mixing_lm, piece_bpe, quality_forest, simhash, source_mix, token_counts, wrappers
 from worklode.llm.common import remainder, table
 
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
@@ -25,6 +25,14 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), size=4, budget=4)
 
 
+def op3_mixing_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Score of every document, learned from six sevenths of them."""
+    held_out = remainder("doc_id", 7) == 2
+    out = mixing_lm.score_documents(table(spark, sf_dir, "documents"), ~held_out)
+    columns = ["n_tokens", "n_known", "train_tokens", "base_score", "score", "bits_per_byte"]
+    return out.select("doc_id", (~F.col("in_training")).alias("held_out"), *columns)
+
+
 def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document, learned from two thirds of them."""
     docs = table(spark, sf_dir, "documents")
@@ -71,6 +79,7 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bit_sliced_top_k": op1_bit_sliced_top_k,
     "op2_simhash": op2_simhash,
+    "op3_mixing_lm": op3_mixing_lm,
     "op4_language": op4_language,
     "op5_chat": op5_chat,
     "op6_wrappers": op6_wrappers,
