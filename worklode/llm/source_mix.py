@@ -16,17 +16,28 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from worklode.llm.common import cut_lineage, keep_rows, map_rows, words_of
 
 SAMPLE = 3000  # labelled documents of a domain that the classifier is fitted on, about
-WORDS = 4096  # words it knows
+WORDS = 256  # words it knows
 STEPS = 1000
 RIDGE = 0.001
-ROUNDS = 60
-NEAR = 1e-4  # the fit ends when no total moves by more than this part of all tokens
+ROUNDS = 100
+_MARKS = bytes.maketrans(b".,;:!?\"'()", b" " * 10)
+NEAR_ONE = 0.95  # rates of drawn documents that count as one
+NEAR = 2e-5  # the fit ends when no total moves by more than this part of all tokens
+
+
+def terms(text: str | None) -> set[bytes]:
+    """The distinct lowered words of a whole text, as they are and without the marks around and inside them."""
+    if not text:
+        return set()
+    data = text.encode().lower()
+    return set(data.split()) | set(data.translate(_MARKS).split())
 
 
 @dataclass(frozen=True)
@@ -38,11 +49,11 @@ class Classifier:
     weights: np.ndarray  # (word, domain)
     bias: np.ndarray
 
-    def posteriors(self, words: list[bytes]) -> np.ndarray:
+    def posteriors(self, text: str | None) -> np.ndarray:
         """In parts of ``STEPS``, adding up to it; largest remainders are rounded up, ties to the first domain."""
         known = self.words
-        at = [i for w in set(words) if (i := known.get(w)) is not None]
-        z = self.bias + (self.weights[at].sum(axis=0) / np.sqrt(len(at)) if at else 0.0)
+        at = [i for w in terms(text) if (i := known.get(w)) is not None]
+        z = self.bias + (self.weights[at].sum(axis=0) if at else 0.0)
         p = np.exp(z - z.max())
         p *= STEPS / p.sum()
         parts = np.floor(p).astype(np.int64)
@@ -65,7 +76,7 @@ def fit_classifier(docs: DataFrame, labelled: DataFrame, domains: list[str], id_
     rows = docs.select(id_col, text_col).join(F.broadcast(known), id_col)  # k * SAMPLE rows, about
 
     def distinct(columns):
-        return [columns[1], [sorted(set(words_of(t, lower=True))) for t in columns[0]]]
+        return [columns[1], [sorted(terms(t)) for t in columns[0]]]
 
     texts = cut_lineage(map_rows(rows.select(text_col, "domain"), distinct, "domain string, words array<binary>"))
     per = texts.select("domain", F.explode("words").alias("word")).groupBy("word").pivot("domain", domains).count().na.fill(0)
@@ -85,27 +96,26 @@ def fit_classifier(docs: DataFrame, labelled: DataFrame, domains: list[str], id_
     x.sort(key=lambda r: (r["domain"], r["at"]))
     row = np.repeat(np.arange(len(x)), [len(r["at"]) for r in x])
     col = np.array([i for r in x for i in r["at"]], np.int64)
-    value = 1 / np.sqrt(np.array([len(r["at"]) for r in x], float)[row])
     y = np.zeros((len(x), k))
     y[np.arange(len(x)), [domains.index(r["domain"]) for r in x]] = 1
     # Each domain has the weight of its true share, whatever part of it was taken.
     weight = np.array([sizes[r["domain"]] / total[r["domain"]] for r in x])
     weight /= weight.sum()
-    weights, bias = _regression(row, col, value, y, weight, len(words))
+    weights, bias = _regression(row, col, y, weight, len(words))
     return Classifier(tuple(domains), words, weights, bias)
 
 
-def _regression(row, col, value, y, weight, m: int, rounds: int = 300, rate: float = 0.5, l2: float = 1e-5) -> tuple[np.ndarray, np.ndarray]:
+def _regression(row, col, y, weight, m: int, rounds: int = 300, rate: float = 0.1, l2: float = 1e-3) -> tuple[np.ndarray, np.ndarray]:
     """Gradient descent with momentum estimates per weight (Adam)."""
     k = y.shape[1]
     w = np.zeros((m + 1, k))  # the last row is the bias
     first, second = np.zeros_like(w), np.zeros_like(w)
     for t in range(1, rounds + 1):
-        z = np.stack([np.bincount(row, value * w[col, d], len(y)) for d in range(k)], axis=1) + w[m]
+        z = np.stack([np.bincount(row, w[col, d], len(y)) for d in range(k)], axis=1) + w[m]
         p = np.exp(z - z.max(axis=1, keepdims=True))
         p /= p.sum(axis=1, keepdims=True)
         e = (p - y) * weight[:, None]
-        g = np.concatenate([np.stack([np.bincount(col, value * e[row, d], m) for d in range(k)], axis=1), e.sum(axis=0)[None]])
+        g = np.concatenate([np.stack([np.bincount(col, e[row, d], m) for d in range(k)], axis=1), e.sum(axis=0)[None]])
         g[:m] += l2 * w[:m]
         first, second = 0.9 * first + 0.1 * g, 0.99 * second + 0.01 * g * g
         w -= rate / (1 + t / 50) * (first / (1 - 0.9**t)) / (np.sqrt(second / (1 - 0.99**t)) + 1e-6)
@@ -117,8 +127,7 @@ def predict(docs: DataFrame, model: Classifier, id_col: str = "doc_id", text_col
     held = docs.sparkSession.sparkContext.broadcast(model)  # WORDS words and their weights
 
     def run(columns):
-        words = [words_of(t, lower=True) for t in columns[1]]
-        return [columns[0], [len(w) for w in words], [held.value.posteriors(w) for w in words]]
+        return [columns[0], [len(words_of(t)) for t in columns[1]], [held.value.posteriors(t) for t in columns[1]]]
 
     id_type = docs.schema[id_col].dataType.simpleString()
     return map_rows(docs.select(id_col, text_col), run, f"{id_col} {id_type}, n_tokens long, parts array<bigint>")
@@ -228,17 +237,14 @@ def keep_mixed(
 
     def drawn(columns):
         ids, texts = columns
-        words = [words_of(t, lower=True) for t in texts]
-        p = np.array([held.value.posteriors(w) for w in words], float).reshape(len(words), -1) / STEPS
+        p = np.array([held.value.posteriors(t) for t in texts], float).reshape(len(texts), -1) / STEPS
         rate = rates.steps(p)[0]
-        return [not w or r > 1 - NEAR or _luck(i) < r for i, w, r in zip(ids, words, rate)]
+        return [not t or not t.strip() or r > NEAR_ONE or _luck(i) < r for i, t, r in zip(ids, texts, rate)]
 
     return keep_rows(docs, [id_col, text_col], drawn)
 
 
 def _luck(id_) -> float:
-    import xxhash
-
     return xxhash.xxh64_intdigest(repr(id_).encode(), 42) / 2.0**64
 
 
