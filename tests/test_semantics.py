@@ -239,10 +239,10 @@ def test_canonicalize_cascade(spark):
     canon = spark.createDataFrame([(1, "Acme"), (2, "Initech Systems"), (3, "Globex Corporatix")], "canonical_id int, canonical_name string")
     aliases = spark.createDataFrame([(2, "Initech")], "canonical_id int, alias string")
     got = {r.id: (r.canonical_id, r.match_method) for r in matching.canonicalize(names, "n", canon, aliases).collect()}
-    assert got == {0: (1, "exact"), 1: (2, "alias"), 2: (3, "fuzzy"), 3: (None, "no_match"), 5: (1, "exact")}
+    assert got == {0: (1, "exact"), 1: (2, "alias"), 2: (3, "fuzzy"), 3: (None, "no_match"), 4: (None, "too_short"), 5: (1, "exact")}
     matched = matching.canonicalize(names, "n", canon, aliases)
     mapping, review, fresh = matching.company_outputs(matched, "id", "n")
-    assert mapping.count() == 4 and review.count() == 1 and fresh.first().canonical_name == "Unknown Firm"
+    assert mapping.count() == 4 and {r.issue_type for r in review.collect()} == {"no_match", "too_short"} and fresh.first().canonical_name == "Unknown Firm"
 
 
 def test_cross_source_copies(spark):
@@ -303,6 +303,20 @@ def test_fiscal_year_starts_in_its_named_year(spark):
         (20200330, 2019, 4, 1), (20200331, 2019, 4, 2), (20200401, 2020, 1, 3), (20200402, 2020, 1, 4)]
 
 
+def test_late_changes_are_placed(spark):
+    """A change older than versions there are splits them; gaps stay gaps; nothing overlaps."""
+    day = lambda m, d: ts(f"2026-{m:02d}-{d:02d}")
+    schema = "job_id string, v int, h string, effective_from timestamp, effective_to timestamp, is_current boolean"
+    history = spark.createDataFrame([("a", 1, "1", day(1, 1), day(3, 1), False), ("a", 2, "2", day(4, 1), None, True), ("b", 7, "7", day(1, 1), day(2, 1), False)], schema)
+    changes = spark.createDataFrame([("a", 3, "3", day(2, 1)), ("a", 2, "2", day(3, 15)), ("a", 5, "5", day(5, 1))], "job_id string, v int, h string, at timestamp")
+    bucket = F.date_trunc("month", "effective_from")
+    out = scd2.apply_history(history, changes, "job_id", ["v"], "h", "at", bucket)
+    got = sorted((r.job_id, r.v, r.effective_from, r.effective_to) for r in out.filter("not is_current").collect())
+    assert got == [("a", 1, day(1, 1), day(2, 1)), ("a", 2, day(3, 15), day(5, 1)), ("a", 3, day(2, 1), day(3, 1)), ("b", 7, day(1, 1), day(2, 1))]
+    assert [(r.v, r.effective_from) for r in out.filter("is_current").collect()] == [(5, day(5, 1))]
+    assert scd2.interval_faults(out, "job_id", bucket).filter("fault = 'OVERLAP'").isEmpty()
+
+
 def test_file_hashes_and_bundle_faults(spark, tmp_path):
     import hashlib
 
@@ -321,6 +335,8 @@ def test_file_hashes_and_bundle_faults(spark, tmp_path):
     publish.export_csv(df.filter("k = 1"), f"{root}/gone", ["k"])
     verdicts = {r.table_name: r.result for r in publish.validate_bundle(spark, listed, {"t": df.schema, "gone": df.schema}, root).collect()}
     assert verdicts == {"t": "OK", "gone": "ROW_COUNT"}
+    verdicts = {r.table_name: r.result for r in publish.validate_bundle(spark, listed, {"t": df.schema, "gone": df.schema}, f"{root}/none").collect()}
+    assert verdicts == {"t": "MISSING", "gone": "MISSING"}
     assert publish.bundle_version("2026-06-07", 3) == "2026.23.3"
 
 

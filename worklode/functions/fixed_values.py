@@ -69,7 +69,6 @@ QUALITY_STATUSES = ["PASS", "FAIL", "WARN", "NOT_VALIDATED", "IN_PROGRESS"]
 SALARY_SOURCES = ["POSTED", "INFERRED", "REPORTED"]
 SALARY_PERIODS = ["ANNUAL", "MONTHLY", "HOURLY", "WEEKLY", "DAILY"]
 SEVERITIES = ["ERROR", "WARNING", "INFO"]
-RUN_STATUSES = ["SUCCESS", "FAILURE", "FAILED", "TIMEOUT", "RUNNING"]
 CURRENCIES = ["USD", "EUR", "GBP", "CAD", "AUD", "INR", "JPY", "CHF", "CNY"]
 SECTOR_METHODS = ["ML_MODEL", "RULE_BASED", "MANUAL", "LOOKUP", "AI_INFERENCE"]
 TAXONOMY_TYPES = ["NAICS", "SIC", "CUSTOM", "INDUSTRY_STANDARD"]

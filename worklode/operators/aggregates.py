@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from worklode.operators.ranking import best_per_key
-
 
 def count_where(condition: Column) -> Column:
     return F.count(F.when(condition, F.lit(1)))
@@ -67,16 +65,9 @@ def unpivot_counts(row: DataFrame, names: list[str], label: str = "check_name",
     return row.select(pairs.alias("_p")).select("_p.*")
 
 
-def value_samples(df: DataFrame, keys: list[str], value: str, keep: int = 20) -> DataFrame:
-    """Row count per key and its ``keep`` smallest distinct values as a short report.
-
-    The values are cut to ``keep`` per key before they are gathered, so the list is bounded; all failing
-    rows stay available as a frame of their own.
-    """
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows_in_group"))
-    few = best_per_key(df.select(*keys, value).dropna(subset=[value]).distinct(), keys, [F.asc(value)], keep)
-    lists = few.groupBy(*keys).agg(F.sort_array(F.collect_list(value)).alias("values"))
-    return counts.join(lists, keys, "left")
+def value_counts(df: DataFrame, keys: list[str], value: str) -> DataFrame:
+    """Every distinct value per key with its row count, in long form, so that no list has to be cut."""
+    return df.dropna(subset=[value]).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("rows_with_value"))
 
 
 def share_of_total(df: DataFrame, keys: list[str], out: str = "share") -> DataFrame:

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from worklode.functions.dates import age_days
 from worklode.operators.aggregates import count_where, guarded_ratio
-from worklode.operators.ranking import best_per_key
 from worklode.operators.upsert import upsert
 
 
@@ -47,15 +46,15 @@ def run_summary(runs: DataFrame, as_of: str, days: int) -> DataFrame:
     )
 
 
-def rule_summary(results: DataFrame, as_of: str, days: int, keep: int = 5) -> DataFrame:
-    """Per severity: results, failures, the first failing rules by name, and a status word."""
+def rule_summary(results: DataFrame, as_of: str, days: int) -> DataFrame:
+    """Per severity: results, failures, the failing rules by name (as many as the catalog has), and a status word."""
     recent = results.filter(age_days(as_of, F.col("evaluated_at")) <= days)
     counts = recent.groupBy("severity").agg(
         F.count(F.lit(1)).alias("results"), count_where(F.col("status") == "FAIL").alias("failures"),
         F.sum("failed_records").alias("failed_records"),
     )
     names = recent.filter(F.col("status") == "FAIL").select("severity", "rule_name").distinct()
-    listed = best_per_key(names, ["severity"], [F.asc("rule_name")], keep).groupBy("severity").agg(
+    listed = names.groupBy("severity").agg(
         F.array_join(F.sort_array(F.collect_list("rule_name")), ", ").alias("failing_rules")
     )
     state = F.when((F.col("severity") == "ERROR") & (F.col("failures") > 0), "CRITICAL").when(
@@ -128,9 +127,3 @@ def audit_report(runs: DataFrame, results: DataFrame, access: DataFrame, as_of:
             "total": F.count(F.lit(1)), "denied": count_where(F.col("access_result") == "DENIED"),
             "users": F.countDistinct("user_name")}))
     )
-
-
-def report_markdown(report: DataFrame) -> DataFrame:
-    """The report as one markdown line per metric."""
-    line = F.concat(F.lit("| "), "section", F.lit(" | "), "metric", F.lit(" | "), F.format_number("value", 2), F.lit(" |"))
-    return report.select("section", "metric", line.alias("line"))

@@ -176,11 +176,16 @@ def normalize_sectors(
     return up.join(named, "code", "left").withColumn("accepted", F.col("confidence") >= threshold)
 
 
+def skill_key(name: Column) -> Column:
+    """What names of one skill share: case and spacing do not count."""
+    return F.lower(F.trim(F.regexp_replace(name, r"\s+", " ")))
+
+
 def sync_catalog(sources: DataFrame, catalog: DataFrame) -> DataFrame:
     """Merge skill sources into the catalog.  ``sources``: skill_name, category, priority (0 = canonical,
     larger is weaker); ``catalog``: skill_id, skill_name, category.  One row per normalized name, the
     strongest source wins; known skills keep their id, new ids are hashes of the name."""
-    normal = F.lower(F.trim(F.regexp_replace("skill_name", r"\s+", " ")))
+    normal = skill_key(F.col("skill_name"))
     best = best_per_key(
         sources.withColumn("normal", normal).filter("normal <> ''"), ["normal"],
         [F.asc("priority"), F.asc("skill_name"), F.asc("category")],
@@ -190,7 +195,7 @@ def sync_catalog(sources: DataFrame, catalog: DataFrame) -> DataFrame:
     )
     both = best.join(known, "normal", "full")
     return both.select(
-        F.coalesce(F.col("_k.skill_id"), F.concat(F.lit("skill_"), F.substring(F.md5("normal"), 1, 16))).alias("skill_id"),
+        F.coalesce(F.col("_k.skill_id"), F.concat(F.lit("skill_"), F.md5("normal"))).alias("skill_id"),
         F.coalesce("skill_name", F.col("_k._n")).alias("skill_name"), F.coalesce("category", F.col("_k._c")).alias("category"),
         F.when(F.col("_k").isNull(), "NEW").when(F.col("skill_name").isNull(), "KEPT").otherwise("UPDATED").alias("sync_state"),
     )
@@ -198,9 +203,9 @@ def sync_catalog(sources: DataFrame, catalog: DataFrame) -> DataFrame:
 
 def skill_evidence(mappings: DataFrame, catalog: DataFrame, name: str) -> DataFrame:
     """Catalog id for every extracted skill by case- and space-insensitive name; unknown names get a hash id."""
-    lookup = catalog.groupBy(F.lower(F.trim("skill_name")).alias("_n")).agg(F.min("skill_id").alias("_id"))
-    joined = mappings.withColumn("_n", F.lower(F.trim(name))).join(lookup, "_n", "left")
-    fallback = F.concat(F.lit("skill_"), F.substring(F.md5("_n"), 1, 16))
+    lookup = catalog.groupBy(skill_key(F.col("skill_name")).alias("_n")).agg(F.min("skill_id").alias("_id"))
+    joined = mappings.withColumn("_n", skill_key(F.col(name))).join(lookup, "_n", "left")
+    fallback = F.concat(F.lit("skill_"), F.md5("_n"))
     return joined.withColumn("is_catalogued", F.col("_id").isNotNull()).withColumn(
         "skill_id", F.coalesce("_id", fallback)
     ).drop("_id", "_n")

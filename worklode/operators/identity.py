@@ -72,18 +72,18 @@ def keep_first_posting(jobs: DataFrame, keys: list[str], posted: str, priority:
     return best_per_key(jobs, keys, [F.asc(posted), priority.asc(), F.asc(tie)])
 
 
-def clusters(edges: DataFrame, a: str, b: str, most_rounds: int = 40) -> DataFrame:
+def clusters(edges: DataFrame, a: str, b: str) -> DataFrame:
     """Connected components as (node, cluster), the cluster named by its smallest node.
 
     Each round takes the smallest label among the neighbours and then the label of that label (pointer
     jumping), so long chains shrink geometrically.  Labels are written to the shared folder each round;
-    running out of rounds is an error, never a partial answer.
+    the rounds end when no label changes.
     """
     one_way = edges.select(F.col(a).alias("src"), F.col(b).alias("dst")).filter(F.col(a) != F.col(b))
     both = one_way.unionByName(one_way.select(F.col("dst").alias("src"), F.col("src").alias("dst"))).distinct()
     both = cut_lineage(both)
     labels = cut_lineage(both.groupBy(F.col("src").alias("node")).agg(F.least(F.col("src"), F.min("dst")).alias("label")))
-    for _ in range(most_rounds):
+    while True:
         near = both.join(labels.withColumnRenamed("node", "dst"), "dst").groupBy(F.col("src").alias("node")).agg(
             F.min("label").alias("_near")
         )
@@ -96,4 +96,3 @@ def clusters(edges: DataFrame, a: str, b: str, most_rounds: int = 40) -> DataFra
         if moved.filter(F.col("label") != F.col("_old")).isEmpty():
             return moved.select("node", F.col("label").alias("cluster"))
         labels = moved.select("node", "label")
-    raise RuntimeError(f"clusters did not settle in {most_rounds} rounds")

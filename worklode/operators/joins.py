@@ -13,9 +13,10 @@ from worklode.operators.ranking import carried_forward
 UNKNOWN_KEY = -1
 
 
-def unprocessed(batches: DataFrame, ledger: DataFrame, keys: list[str], order: str, limit: int = 10) -> DataFrame:
-    """The oldest batches that the ledger does not list yet."""
-    return batches.join(ledger.select(*keys), keys, "left_anti").orderBy(order, *keys).limit(limit)
+def unprocessed(batches: DataFrame, ledger: DataFrame, keys: list[str], order: str, limit: int | None = None) -> DataFrame:
+    """The batches that the ledger does not list yet, oldest first; at most ``limit`` if a run takes only so many."""
+    todo = batches.join(ledger.select(*keys), keys, "left_anti").orderBy(order, *keys)
+    return todo if limit is None else todo.limit(limit)
 
 
 def resolve_keys(df: DataFrame, lookups: list[tuple[DataFrame, str, str, str]]) -> DataFrame:
@@ -98,8 +99,3 @@ def value_as_of(
     return line.filter(F.col("_kind") == 1).select(
         "_fact.*", *[F.when(valid, F.col(f"_valid._c_{c}")).alias(f"version_{c}") for c in carry]
     )
-
-
-def same_text(left: Column, right: Column) -> Column:
-    """Equality that ignores case and surrounding space (still an equi-join)."""
-    return F.lower(F.trim(left)) == F.lower(F.trim(right))

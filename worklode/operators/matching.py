@@ -74,10 +74,11 @@ def canonicalize(
 
     ``canon``: canonical_id, canonical_name.  ``aliases``: canonical_id, alias.  Only distinct normalized
     names are matched, each step sees what the steps before left over, and the result is joined back.
+    Names of fewer than ``shortest`` characters are not matched; they come out as ``too_short``.
     """
     rows = names.withColumn("normalized_name", matching_company_name(F.col(name)))
-    rows = rows.filter(F.length("normalized_name") >= shortest)
-    todo = rows.select("normalized_name").distinct()
+    long = F.length("normalized_name") >= shortest
+    todo = rows.filter(long).select("normalized_name").distinct()
     c = canon.withColumn("_c", matching_company_name(F.col("canonical_name")))
     exact = c.groupBy(F.col("_c").alias("normalized_name")).agg(F.min("canonical_id").alias("_exact"))
     alias = aliases.groupBy(matching_company_name(F.col("alias")).alias("normalized_name")).agg(
@@ -98,7 +99,9 @@ def canonicalize(
         .otherwise(F.coalesce("similarity", F.lit(0.0))).alias("confidence"),
     )
     titled = found.join(canon.select("canonical_id", "canonical_name"), "canonical_id", "left")
-    return rows.join(titled, "normalized_name")
+    joined = rows.join(titled, "normalized_name", "left")
+    missing = F.coalesce("match_method", F.lit("too_short"))
+    return joined.withColumns({"match_method": missing, "confidence": F.coalesce("confidence", F.lit(0.0))})
 
 
 METHOD_NAMES = {"exact": "EXACT_MATCH", "alias": "ALIAS_MATCH", "fuzzy": "FUZZY"}
@@ -120,7 +123,7 @@ def company_outputs(matched: DataFrame, key: str, name: str, threshold: float =
         F.to_json(F.struct(F.col(name).alias("input"), F.col("normalized_name").alias("normalized"),
                            F.col("match_method").alias("method"))).alias("explanation_json"),
     )
-    issue = F.when(F.col("match_method") == "no_match", "no_match").otherwise("low_confidence")
+    issue = F.when(F.col("match_method").isin("no_match", "too_short"), F.col("match_method")).otherwise("low_confidence")
     review = matched.filter(~sure).select(
         F.md5(F.concat_ws("|", F.lit("company"), F.col(key).cast("string"))).alias("review_id"), key,
         F.lit("company").alias("entity_type"), issue.alias("issue_type"), F.col(name).alias("value"), "normalized_name",
@@ -128,7 +131,7 @@ def company_outputs(matched: DataFrame, key: str, name: str, threshold: float =
     )
     fresh = matched.filter(F.col("match_method") == "no_match").groupBy("normalized_name").agg(
         F.min(name).alias("canonical_name")
-    ).select(F.concat(F.lit("company_"), F.substring(F.md5("normalized_name"), 1, 16)).alias("company_id"), "canonical_name")
+    ).select(F.concat(F.lit("company_"), F.md5("normalized_name")).alias("company_id"), "canonical_name")
     return mapping, review, fresh
 
 

@@ -14,27 +14,32 @@ def apply_history(
     """Next state of a history table.
 
     ``history`` has key, attributes, hash, ``effective_from``, ``effective_to``, ``is_current``;
-    ``changes`` has key, attributes, hash, ``at`` and may hold several rows per key (same-day changes
-    included; equal times are ordered by hash).  Closed versions pass through.  Open versions and the
-    changes are laid on one line: a row whose hash equals the one before it changes nothing, and each
-    remaining row is closed by the next.  ``bucket`` coarsens ``effective_from`` to spread hot keys.
+    ``changes`` has key, attributes, hash, ``at`` and may hold several rows per key, in any order and also
+    older than versions there are (same-day changes included; equal times are ordered by hash).  All
+    versions and changes of a changed key are laid on one line: a row whose hash equals the one before it
+    changes nothing, and each remaining row is closed by the next.  Where a closed version ends and none
+    starts, the key is absent until the next row, so gaps stay gaps.  Keys without changes pass through.
+    ``bucket`` coarsens ``effective_from`` to spread hot keys.
     """
-    closed = history.filter(~F.col("is_current"))
     columns = [key, *attributes, hash_col, "effective_from"]
-    opened = history.filter(F.col("is_current")).select(*columns, F.lit(0).alias("_kind"))
-    incoming = changes.select(
-        key, *attributes, hash_col, F.col(at).alias("effective_from"), F.lit(1).alias("_kind")
-    ).join(opened.select(key, F.col("effective_from").alias("_open_from")), key, "left")
-    # A late change older than the open version cannot be placed without rewriting history: skip it.
-    incoming = incoming.filter(
-        F.col("_open_from").isNull() | (F.col("effective_from") >= F.col("_open_from"))
-    ).drop("_open_from")
+    whole = [*columns, "effective_to", "is_current"]
+    touched = changes.select(key).distinct()
+    untouched = history.join(touched, key, "left_anti").select(*whole)
+    versions = history.join(touched, key, "left_semi")
+    starts = versions.select(*columns, F.lit(1).alias("_kind"))
+    ends = versions.filter(F.col("effective_to").isNotNull()).select(key, F.col("effective_to").alias("effective_from"))
+    gaps = ends.join(starts.select(key, "effective_from"), [key, "effective_from"], "left_anti").distinct()
+    nothing = [F.lit(None).cast(history.schema[c].dataType).alias(c) for c in [*attributes, hash_col]]
+    gaps = gaps.select(key, *nothing, "effective_from", F.lit(0).alias("_kind"))
+    incoming = changes.select(key, *attributes, hash_col, F.col(at).alias("effective_from"), F.lit(2).alias("_kind"))
     order = ["effective_from", "_kind", hash_col]
-    line = shifted(opened.unionByName(incoming), [key], order, {"_prev": hash_col, "_prev_kind": "_kind"}, bucket)
-    kept = line.filter(F.col("_prev_kind").isNull() | ~F.col("_prev").eqNullSafe(F.col(hash_col)))
-    timed = shifted(kept, [key], order, {"effective_to": "effective_from"}, bucket, back=False)
-    versions = timed.select(*columns, "effective_to", F.col("effective_to").isNull().alias("is_current"))
-    return closed.select(*columns, "effective_to", "is_current").unionByName(versions)
+    events = gaps.unionByName(starts).unionByName(incoming)
+    line = shifted(events, [key], order, {"_prev": hash_col, "_prev_kind": "_kind"}, bucket)
+    first = F.col("_prev_kind").isNull() | (F.col("_prev_kind") == 0) | (F.col("_kind") == 0)
+    kept = line.filter(first | ~F.col("_prev").eqNullSafe(F.col(hash_col)))
+    timed = shifted(kept, [key], order, {"effective_to": "effective_from"}, bucket, back=False).filter("_kind > 0")
+    made = timed.select(*columns, "effective_to", F.col("effective_to").isNull().alias("is_current"))
+    return untouched.unionByName(made)
 
 
 def change_kind(history: DataFrame, staged: DataFrame, key: str, hash_col: str) -> DataFrame:

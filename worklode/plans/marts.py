@@ -342,9 +342,3 @@ def top_sector_per_skill(demand: DataFrame) -> DataFrame:
 def rolling_rollup(mart: DataFrame, level: str) -> DataFrame:
     """Rows of one rollup level only (a null key of that level means unknown, not rolled up)."""
     return mart.filter(F.col("rollup_level") == level)
-
-
-def mart_day(mart: DataFrame, day: str) -> DataFrame:
-    return mart.withColumn("day", key_to_date(F.col(day)))
-
-

@@ -103,9 +103,18 @@ def _(t):
     return found.groupBy("priority").agg(F.count(F.lit(1)).alias("entries"), F.countDistinct("skill_name").alias("skills"))
 
 
-@query("file_hashes", "IO-08")
+# One text file per part brand and nation, whose content the tables say.
+FILES = """select p_brand as name, concat('brand ', p_brand, chr(10)) as content from {part} group by 1
+    union all select n_name, concat('nation ', n_name, chr(10)) from {nation}"""
+
+
+@query("file_hashes", "IO-08", f"""
+    select length(content) as bytes, sha256(content) as sha256, md5(content) as md5 from ({FILES})""")
 def _(t):
-    return publish.file_hashes(t.spark, t.sf_dir, "*.parquet")
+    root = folder(t)
+    files = t.sql(FILES).select("name", F.rtrim(F.col("content"), F.lit("\n")).alias("value"))
+    files.repartition("name").write.partitionBy("name").text(root)
+    return publish.file_hashes(t.spark, root, "*.txt").drop("file_name")
 
 
 def digest_sql(table: str, columns: list[str]) -> str:

@@ -95,7 +95,7 @@ def _(t):
     source = F.col("o_orderpriority").alias("source_name")
     batches = t.orders.groupBy(source, month).agg(F.count(F.lit(1)).alias("job_count"))
     ledger = t.orders.filter(F.col("o_orderstatus") == "F").groupBy(source, month).agg(F.count(F.lit(1)).alias("n"))
-    todo = joins.unprocessed(batches, ledger.filter("n > 60"), ["source_name", "batch_month"], "batch_month")
+    todo = joins.unprocessed(batches, ledger.filter("n > 60"), ["source_name", "batch_month"], "batch_month", limit=10)
     return todo.withColumn("batch_month", F.date_format("batch_month", "yyyy-MM"))
 
 
@@ -341,10 +341,10 @@ def _(t):
     return found.select("o_orderpriority", "n", *[F.round(p, 4).alias(p) for p in probs])
 
 
-@query("invalid_value_sample", "A-08", """
-    select source_name, count(*) as rows_in_group, list_sort(list(distinct status)) as values from {quarantine} group by 1""")
+@query("invalid_values", "A-08", """
+    select source_name, status, count(*) as rows_with_value from {quarantine} where status is not null group by 1, 2""")
 def _(t):
-    return agg.value_samples(t.quarantine, ["source_name"], "status")
+    return agg.value_counts(t.quarantine, ["source_name"], "status")
 
 
 @query("conditional_counts", "A-02 A-03 A-09", """

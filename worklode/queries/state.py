@@ -176,8 +176,7 @@ HISTORY_SQL = f"""
     with prior as ({PRIOR}),
     line as (select job_id, band, effective_from, 0 as kind from prior
              union all select user_id, cast(floor(value / 20) as int), ts, 1 from {{events}} e
-             left join prior p on p.job_id = e.user_id
-             where event_type in ('signup', 'purchase') and (p.job_id is null or e.ts >= p.effective_from)),
+             where event_type in ('signup', 'purchase')),
     marked as (select *, lag(band) over w as pb, lag(kind) over w as pk from line
                window w as (partition by job_id order by effective_from, kind, band)),
     kept as (select * from marked where pk is null or pb <> band),
@@ -202,6 +201,45 @@ def _(t):
     return history(t).select("job_id", "band", secs("effective_from"), secs("effective_to"), "is_current")
 
 
+# Prior state with closed versions and gaps: the first two 'signup' of a key, the first of which ended before the second
+# or at it; changes of any time.  SQL writes the end of a closed version as a row of its own.
+LATE_PRIOR = """
+    select user_id as job_id, cast(floor(value / 20) as int) as band, ts as effective_from,
+           case when rn = 1 and nx is not null and user_id % 2 = 0 then ts + (nx - ts) / 2 when rn = 1 then nx end as effective_to
+    from (select *, row_number() over (partition by user_id order by ts, event_id) as rn,
+                 lead(ts) over (partition by user_id order by ts, event_id) as nx from {events} where event_type = 'signup')
+    where rn <= 2"""
+
+
+@query("apply_history_late", "M-04 WH-09 W-15", f"""
+    with prior as ({LATE_PRIOR}),
+    feed as (select user_id as job_id, cast(floor(value / 20) as int) as band, ts from {{events}} where event_type = 'purchase'),
+    t as (select distinct job_id from feed),
+    line as (
+        select job_id, band, effective_from, 1 as kind from prior where job_id in (select job_id from t)
+        union all select job_id, null, effective_to, 0 from prior p where effective_to is not null and job_id in (select job_id from t)
+            and not exists (select 1 from prior q where q.job_id = p.job_id and q.effective_from = p.effective_to)
+        union all select job_id, band, ts, 2 from feed),
+    marked as (select *, lag(band) over w as pb, lag(kind) over w as pk from line
+               window w as (partition by job_id order by effective_from, kind, band)),
+    kept as (select * from marked where pk is null or pk = 0 or kind = 0 or pb <> band),
+    hist as (select job_id, band, effective_from, kind,
+                    lead(effective_from) over (partition by job_id order by effective_from, kind, band) as effective_to from kept),
+    whole as (select job_id, band, effective_from, effective_to from hist where kind > 0
+              union all select job_id, band, effective_from, effective_to from prior where job_id not in (select job_id from t))
+    select job_id, band, strftime(effective_from, '{TS}') as effective_from, strftime(effective_to, '{TS}') as effective_to,
+           effective_to is null as is_current from whole""")
+def _(t):
+    prior = t.sql(LATE_PRIOR).withColumns(
+        {"is_current": F.col("effective_to").isNull(), "row_hash": F.md5(F.lpad(F.col("band").cast("string"), 4, "0"))}
+    )
+    feed = t.events.filter("event_type = 'purchase'").select(
+        F.col("user_id").alias("job_id"), F.floor(F.col("value") / 20).cast("int").alias("band"), "ts"
+    ).withColumn("row_hash", F.md5(F.lpad(F.col("band").cast("string"), 4, "0")))
+    made = scd2.apply_history(prior, feed, "job_id", ["band"], "row_hash", "ts", F.date_trunc("hour", "effective_from"))
+    return made.select("job_id", "band", secs("effective_from"), secs("effective_to"), "is_current")
+
+
 @query("history_kinds", "M-04 J-03", f"""
     with prior as ({PRIOR}),
     s as (select job_id, band from (select user_id as job_id, cast(floor(value / 20) as int) as band,

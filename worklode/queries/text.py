@@ -310,8 +310,9 @@ CASCADE = f"""
              case when kn.e is not null then 'exact' when a is not null then 'alias' when fz.c is not null then 'fuzzy' else 'no_match' end as match_method,
              case when kn.e is not null then 1.0::double when a is not null then 0.95::double else coalesce(similarity, 0) end as confidence
            from kn left join fz on fz.n = kn.n and rn = 1 left join ex on ex.n = fz.c),
-    matched as (select name_id, raw_name, nm.n as normalized_name, fd.canonical_id, canonical_name, match_method, confidence
-                from nm join fd on fd.n = nm.n left join cn on cn.canonical_id = fd.canonical_id)"""
+    matched as (select name_id, raw_name, nm.n as normalized_name, fd.canonical_id, canonical_name,
+                       coalesce(match_method, 'too_short') as match_method, coalesce(confidence, 0) as confidence
+                from nm left join fd on fd.n = nm.n left join cn on cn.canonical_id = fd.canonical_id)"""
 
 
 def matched(t):
@@ -332,14 +333,15 @@ def _(t):
 
 
 @query("company_review_rows", "T-17 T-12", CASCADE + """
-    select name_id, 'company' as entity_type, 'no_match' as issue_type, raw_name as "value", normalized_name, canonical_id as suggested_id,
+    select name_id, 'company' as entity_type,
+           case when match_method in ('no_match', 'too_short') then match_method else 'low_confidence' end as issue_type, raw_name as "value", normalized_name, canonical_id as suggested_id,
            confidence, 'pending' as status from matched where confidence < 0.75""")
 def _(t):
     return matching.company_outputs(matched(t), "name_id", "raw_name")[1].drop("review_id")
 
 
 @query("new_canonical_companies", "T-17", CASCADE + """
-    select concat('company_', substr(md5(normalized_name), 1, 16)) as company_id, min(raw_name) as canonical_name
+    select concat('company_', md5(normalized_name)) as company_id, min(raw_name) as canonical_name
     from matched where match_method = 'no_match' group by normalized_name""")
 def _(t):
     return matching.company_outputs(matched(t), "name_id", "raw_name")[2]
@@ -358,7 +360,7 @@ SKILL_CATALOG = """select concat('id', min(p_partkey)) as skill_id, p_name as sk
     b as (select *, row_number() over (partition by lower(trim(skill_name)) order by priority, skill_name, category) as rn,
                  lower(trim(skill_name)) as nn from s),
     c as (select *, lower(trim(skill_name)) as nn from k)
-    select coalesce(c.skill_id, concat('skill_', substr(md5(b.nn), 1, 16))) as skill_id, coalesce(b.skill_name, c.skill_name) as skill_name,
+    select coalesce(c.skill_id, concat('skill_', md5(b.nn))) as skill_id, coalesce(b.skill_name, c.skill_name) as skill_name,
            coalesce(b.category, c.category) as category,
            case when c.skill_id is null then 'NEW' when b.nn is null then 'KEPT' else 'UPDATED' end as sync_state
     from (select * from b where rn = 1) b full join c on b.nn = c.nn""")
@@ -368,7 +370,7 @@ def _(t):
 
 @query("skill_evidence", "T-19 J-20", f"""
     with c as ({SKILL_CATALOG}), x as (select lower(trim(skill_name)) as n, min(skill_id) as id from c group by 1)
-    select p_partkey, coalesce(id, concat('skill_', substr(md5(lower(p_name)), 1, 16))) as skill_id, id is not null as is_catalogued
+    select p_partkey, coalesce(id, concat('skill_', md5(lower(p_name)))) as skill_id, id is not null as is_catalogued
     from {{part}} left join x on x.n = lower(p_name)""")
 def _(t):
     told = t.part.select("p_partkey", F.concat(F.upper("p_name"), F.lit(" ")).alias("name"))

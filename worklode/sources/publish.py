@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -45,13 +46,6 @@ def digest(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     return df.agg(*digest_columns(columns or df.columns))
 
 
-def schema_hash(df: DataFrame) -> str:
-    """SHA-256 of the schema's JSON."""
-    import hashlib
-
-    return hashlib.sha256(df.schema.json().encode()).hexdigest()
-
-
 def export_csv(df: DataFrame, path: str, order: list[str]) -> DataFrame:
     """Write gzip CSV sorted over all files: ranges of the key, each sorted.  Returns the read-back."""
     ranged = df.repartitionByRange(*order).sortWithinPartitions(*order)
@@ -114,12 +108,19 @@ def register_snapshot(registry: DataFrame, listed: DataFrame, as_of: str) -> Dat
 
 
 def validate_bundle(spark: SparkSession, listed: DataFrame, schemas: dict[str, T.StructType], root: str) -> DataFrame:
-    """Read every table of a bundle back and compare rows and digest with the manifest."""
-    found = reduce(lambda a, b: a.unionByName(b), [
-        digest(read_csv(spark, f"{root}/{name}", schema)).select(
-            F.lit(name).alias("table_name"), F.col("row_count").alias("_rows"), F.col("hash_sum").alias("_sum"), F.col("hash_xor").alias("_xor"))
-        for name, schema in schemas.items()
-    ])
+    """Read every table of a bundle back and compare rows and digest with the manifest; a table without files is MISSING."""
+    def one(name: str, schema: T.StructType) -> DataFrame | None:
+        try:
+            read = digest(read_csv(spark, f"{root}/{name}", schema))
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return None
+        return read.select(F.lit(name).alias("table_name"), F.col("row_count").alias("_rows"), F.col("hash_sum").alias("_sum"), F.col("hash_xor").alias("_xor"))
+
+    parts = [p for name, schema in schemas.items() if (p := one(name, schema)) is not None]
+    none = spark.createDataFrame([], "table_name string, _rows long, _sum string, _xor string")
+    found = reduce(lambda a, b: a.unionByName(b), parts) if parts else none
     joined = listed.join(found, "table_name", "full")
     issue = (
         F.when(F.col("row_count").isNull(), "NOT_IN_MANIFEST").when(F.col("_rows").isNull(), "MISSING")
