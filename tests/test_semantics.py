@@ -303,6 +303,14 @@ def test_fiscal_year_starts_in_its_named_year(spark):
         (20200330, 2019, 4, 1), (20200331, 2019, 4, 2), (20200401, 2020, 1, 3), (20200402, 2020, 1, 4)]
 
 
+def test_terms_of_any_length(spark):
+    from worklode.operators.dictionaries import match_words
+
+    texts_ = spark.createDataFrame([(1, "We use C++ and a very long tool name here."), (2, "long very a tool"), (3, None)], "id int, s string")
+    terms = spark.createDataFrame([("c++", 1), ("A very, long tool NAME", 2), ("tool", 3), ("name tool", 4), ("", 5)], "term string, n int")
+    assert sorted((r.id, r.n) for r in match_words(texts_, "id", F.col("s"), terms, "term").collect()) == [(1, 1), (1, 2), (1, 3), (2, 3)]
+
+
 def test_late_changes_are_placed(spark):
     """A change older than versions there are splits them; gaps stay gaps; nothing overlaps."""
     day = lambda m, d: ts(f"2026-{m:02d}-{d:02d}")

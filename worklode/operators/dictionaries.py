@@ -40,20 +40,22 @@ def bind(value: Column, use) -> Column:
     return F.transform(F.array(value), use)[0]
 
 
-def match_words(texts: DataFrame, key: str, text: str, terms: DataFrame, term: str, longest: int = 4) -> DataFrame:
-    """(key, term columns) for every term that occurs in a text as whole words, for any number of terms.
+def match_words(texts: DataFrame, key: str, text: str, terms: DataFrame, term: str) -> DataFrame:
+    """(key, term columns) for every term that occurs in a text as whole words: any number of terms of any length.
 
-    Distinct word runs of up to ``longest`` words are joined with the terms on equality.
+    A term is looked up by the one of its words that the fewest texts have; where that word occurs, a term of
+    several words is then compared with the text.  ``key`` is unique in ``texts``.
     """
-    words = F.filter(F.split(F.lower(text), r"[^\p{L}\p{N}#+]+"), lambda w: w != "")
-
-    def runs(n: int):
-        def at(w: Column, i: Column) -> Column:
-            return F.array_join(F.slice(F.col("_words"), i + 1, n), " ")
-
-        return F.array_distinct(F.transform("_words", at))
-
-    grams = texts.select(key, words.alias("_words"))
-    listed = grams.select(key, F.explode(F.array_distinct(F.flatten(F.array(*[runs(n) for n in range(1, longest + 1)])))).alias("_run"))
-    wanted = terms.withColumn("_run", F.trim(F.regexp_replace(F.lower(term), r"[^\p{L}\p{N}#+]+", " ")))
-    return listed.join(wanted, "_run").drop("_run")
+    apart = r"[^\p{L}\p{N}#+]+"
+    lines = texts.select(key, F.filter(F.split(F.lower(text), apart), lambda w: w != "").alias("_words"))
+    found = lines.select(key, F.explode(F.array_distinct("_words")).alias("_word"))
+    wanted = terms.withColumn("_run", F.trim(F.regexp_replace(F.lower(term), apart, " "))).filter("_run <> ''")
+    parts = wanted.select("_run", F.explode(F.split("_run", " ")).alias("_word")).distinct()
+    often = found.join(parts.select("_word").distinct(), "_word", "left_semi").groupBy("_word").count()
+    rarest = parts.join(often, "_word").groupBy("_run").agg(F.min(F.struct("count", "_word"))["_word"].alias("_word"))
+    near = found.join(rarest, "_word").select(key, "_run")
+    several = F.col("_run").contains(" ")
+    spaced = F.concat(F.lit(" "), F.array_join("_words", " "), F.lit(" "))
+    whole = near.filter(several).join(lines.select(key, spaced.alias("_line")), key)
+    whole = whole.filter(F.col("_line").contains(F.concat(F.lit(" "), "_run", F.lit(" "))))
+    return near.filter(~several).unionByName(whole.select(key, "_run")).join(wanted, "_run").drop("_run")

@@ -178,14 +178,16 @@ def _(t):
 
 @query("match_catalog_words", "GR-01 J-21", r"""
     with terms as (select distinct split_part(p_name, ' ', 1) as term from {part} union select distinct r_name from {region}
-                   union select 'the'  union select 'of the' union select 'and is'),
+                   union select 'the'  union select 'of the' union select 'and is'
+                   union select 'is of the' union select 'the and of the and'),
     x as (select doc_id, concat(' ', array_to_string(list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{N}#+]+'), lambda w: w <> ''), ' '), ' ') as w
           from {documents})
     select doc_id, term from x, terms where contains(w, concat(' ', lower(term), ' '))""")
 def _(t):
     words = t.sql("""select distinct split_part(p_name, ' ', 1) as term from {part} union select distinct r_name from {region}
-                     union select 'the' union select 'of the' union select 'and is'""")
-    return match_words(t.documents, "doc_id", F.col("text"), words, "term", longest=2).select("doc_id", "term")
+                     union select 'the' union select 'of the' union select 'and is'
+                     union select 'is of the' union select 'the and of the and'""")
+    return match_words(t.documents, "doc_id", F.col("text"), words, "term").select("doc_id", "term")
 
 
 ALIASES = """select p_name as alias, concat('Role ', upper(p_name)) as role,
