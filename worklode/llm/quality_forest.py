@@ -21,7 +21,7 @@ from worklode.llm.common import cut_lineage, keep_rows, map_rows
 TREES = 200
 SUBSAMPLES = (32, 64, 128, 256)  # rows a tree is grown from; the labels choose
 SEPARATES = 0.1  # statistics used: a good and a bad row come in one order this much more often than in half the cases
-SAMPLE = 20_000  # labelled rows the trees draw from, at most
+SAMPLE = 20_000  # labelled rows the trees draw from, about, if there are more
 MOST_GOOD_LOST = 0.01
 BINS = 1000
 #: The characters counted as symbols, the least words, the largest share of repeated words in percent.
@@ -188,13 +188,15 @@ def rule_statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def fit(stats: DataFrame, labels: DataFrame, id_col: str = "doc_id", label_col: str = "quality") -> Forest:
     """Grow the forest and calibrate its threshold from the labelled rows of ``stats`` that pass the base rules.
 
-    The forest is grown from ``SAMPLE`` of them at most, taken by a hash of the id.  The threshold is calibrated on all
+    The forest is grown from about ``SAMPLE`` of them, taken by a hash of the row, so that no more is collected.  The threshold is calibrated on all
     of them, from counts by anomaly in ``BINS`` bins.  Without rows of both labels nothing is rejected.
     """
     known = labels.select(id_col, F.col(label_col).alias("_good")).filter("_good is not null").groupBy(id_col).agg(F.max("_good").alias("_good"))
     rows = stats.filter(~F.col("base_failed")).select(id_col, "features").join(known, id_col)
     rows = cut_lineage(rows.select(id_col, "features", F.col("_good").cast("int").alias("good")))
-    sample = rows.orderBy(F.xxhash64(id_col), id_col, F.xxhash64("features")).limit(SAMPLE).select("features", "good").collect()
+    share = SAMPLE / max(rows.count(), SAMPLE)
+    luck = F.pmod(F.xxhash64(F.col(id_col), F.col("features")), F.lit(1 << 30)) / float(1 << 30)
+    sample = sorted(rows.filter(luck < share).select("features", "good").collect())
     if not sample:
         return grow(np.zeros((1, len(FEATURES))), 1, trees=1)
     forest = best_forest(np.array([r[0] for r in sample]), np.array([bool(r[1]) for r in sample]))
