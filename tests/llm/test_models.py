@@ -142,9 +142,9 @@ def test_bit_chances_add_up():
     words = sorted(w + b" " for w in (b"aa", b"ab", b"abcdef", b"abcdeg", b"b", b"\xc3\xa9t\xc3\xa9"))
     counts = np.arange(1.0, 13).reshape(6, 2)
     places = mixing_lm.Places(2)
-    slots, n = mixing_lm.slot_counts(places, words, counts)
-    table_ = np.zeros((places.total, 2), np.float32)
-    table_[slots] = n
+    total = np.zeros((2, places.total))
+    mixing_lm.slot_counts(places, words, counts, total)
+    table_ = total.T.astype(np.float32)
     model = mixing_lm.Model(2, table_, np.tile(np.array(mixing_lm.FIRST_WEIGHTS), (16, 1)), np.zeros((64, 24, 2)))
     total = np.zeros(2)
     for byte in range(1, 256):
