@@ -241,9 +241,11 @@ def assess(
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality") -> DataFrame:
-    """The rows of ``docs`` that are kept, with all their columns."""
-    labelled = docs.join(labels.select(id_col).distinct(), id_col, "left_semi")
-    stats = cut_lineage(rule_statistics(labelled, id_col, text_col))
+    """The rows of ``docs`` that are kept, with all their columns.
+
+    The statistics are made twice, for the fit and for the verdict, so that no text has to be shuffled.
+    """
+    stats = cut_lineage(rule_statistics(docs, id_col, text_col))
     held = docs.sparkSession.sparkContext.broadcast(fit(stats, labels, id_col, label_col))
 
     def good(columns):
