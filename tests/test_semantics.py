@@ -311,6 +311,17 @@ def test_terms_of_any_length(spark):
     assert sorted((r.id, r.n) for r in match_words(texts_, "id", F.col("s"), terms, "term").collect()) == [(1, 1), (1, 2), (1, 3), (2, 3)]
 
 
+def test_a_stopped_write_changes_nothing(spark, tmp_path):
+    from worklode.sources.tables import TableStore
+
+    store = TableStore(spark, str(tmp_path))
+    assert not store.exists("t")
+    store.replace("t", spark.range(3))
+    store.replace("t", store.read("t").filter("id > 0"))
+    spark.range(9).write.parquet(f"{tmp_path}/t/v-stopped")  # written, but not listed
+    assert store.exists("t") and [r.id for r in store.read("t").orderBy("id").collect()] == [1, 2]
+
+
 def test_late_changes_are_placed(spark):
     """A change older than versions there are splits them; gaps stay gaps; nothing overlaps."""
     day = lambda m, d: ts(f"2026-{m:02d}-{d:02d}")

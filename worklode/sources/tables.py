@@ -1,10 +1,12 @@
-"""Table folders: every write makes a new version folder and a pointer file then names it."""
+"""Table folders: every write makes a new version folder, and a line added to the list of versions then names it."""
 
 from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import functions as F
 
 from worklode.session import shared_dir
 
@@ -13,7 +15,8 @@ class TableStore:
     """Versioned Parquet tables below one root folder shared by all executors.
 
     A table is never overwritten in place, so a job may read the state it replaces, and a lost executor
-    only repeats its own tasks.  The pointer is a one-row table written last.
+    only repeats its own tasks.  The list of versions is only ever added to, as the last step of a write, and the
+    one with the highest number counts: a write that stops before has changed nothing.
     """
 
     def __init__(self, spark: SparkSession, root: str | None = None):
@@ -26,13 +29,28 @@ class TableStore:
         if partition_by:
             writer = writer.partitionBy(*partition_by)
         writer.parquet(path)
-        pointer = self.spark.range(1).selectExpr(f"'{path}' as path")
-        pointer.coalesce(1).write.mode("overwrite").json(f"{self.root}/{name}/current")
+        number = 0 if (last := self._last(name)) is None else last.number + 1
+        entry = self.spark.createDataFrame([(number, path)], "number long, path string")
+        entry.coalesce(1).write.mode("append").json(f"{self.root}/{name}/versions")
         return self.spark.read.parquet(path)
 
+    def _last(self, name: str) -> Row | None:
+        try:
+            listed = self.spark.read.schema("number long, path string").json(f"{self.root}/{name}/versions")
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return None
+        return listed.orderBy(F.desc("number"), "path").first()
+
+    def exists(self, name: str) -> bool:
+        return self._last(name) is not None
+
     def read(self, name: str) -> DataFrame:
-        path = self.spark.read.schema("path string").json(f"{self.root}/{name}/current").first().path
-        return self.spark.read.parquet(path)
+        last = self._last(name)
+        if last is None:
+            raise ValueError(f"table {name} has no version")
+        return self.spark.read.parquet(last.path)
 
     def append(self, name: str, df: DataFrame, partition_by: list[str] | None = None) -> str:
         """Append with the schema of ``df`` to an append-only log folder."""

@@ -47,23 +47,13 @@ def keep_latest(store: TableStore, name: str, keys: list[str], order: list[str])
 
     def each(batch: DataFrame, batch_id: int) -> None:
         fresh = best_per_key(batch, keys, [F.desc(c) for c in order])
-        if batch_id > 0 or _exists(store, name):
+        if batch_id > 0 or store.exists(name):
             fresh = best_per_key(store.read(name).unionByName(fresh), keys, [F.desc(c) for c in order])
         store.replace(name, fresh)
 
     return each
 
 
-def _exists(store: TableStore, name: str) -> bool:
-    from pyspark.errors import AnalysisException
-
-    try:
-        store.read(name)
-    except AnalysisException:
-        return False
-    return True
-
-
 def timed(stream: DataFrame, at: str, delay: str) -> DataFrame:
     """Watermark on ``at``; zoneless times are read in the session's zone, as watermarks need instants."""
     return stream.withColumn(at, F.col(at).cast("timestamp")).withWatermark(at, delay)
@@ -92,7 +82,7 @@ def merge_counts(store: TableStore, name: str, keys: list[str]) -> Callable[[Dat
 
     def each(batch: DataFrame, batch_id: int) -> None:
         fresh = batch
-        if _exists(store, name):
+        if store.exists(name):
             fresh = store.read(name).join(batch.select(*keys), keys, "left_anti").unionByName(batch)
         store.replace(name, fresh)
 
