@@ -185,6 +185,12 @@ def test_counts_of_words_so_far():
             assert sofar[0][1][i] == sum(counts[x].sum() for x in same if words[x][c.at] >> (7 - b) & 1)
 
 
+def test_weights_are_learned_from_all_words(spark):
+    words = spark.range(210_000).selectExpr("cast(lower(hex(id)) as binary) as word", "1 + id % 2 as n0")
+    model = mixing_lm._train(words, 1)
+    assert model.refine[:, :, 0].sum() == words.selectExpr("sum(n0 * 8 * (length(word) + 1))").first()[0]
+
+
 def test_language_model_on_odd_tables(docs, no_docs):
     from pyspark.sql import functions as F
 
