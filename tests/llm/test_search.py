@@ -179,6 +179,18 @@ def test_wrappers(spark):
     assert wrappers.extract(df.limit(0)).count() == 0
 
 
+def texts_of(spark, pages):
+    df = spark.createDataFrame([(i, "http://h/", p) for i, p in enumerate(pages)], "page_id long, url string, html string")
+    return [r.text for r in wrappers.extract(df).orderBy("page_id").collect()]
+
+
+def test_template_inside_marked_articles(spark):
+    page = "<body><article><h1>Title {0}</h1><p>Text {0}</p><p>Share this page</p></article></body>"
+    assert texts_of(spark, [page.format(i) for i in range(5)]) == [f"Title {i} Text {i}" for i in range(5)]
+    copies = [page.format(0)] * 5  # copies of one page show nothing
+    assert texts_of(spark, copies) == ["Title 0 Text 0 Share this page"] * 5
+
+
 def test_pages_query(spark):
     import html
 

@@ -3,10 +3,11 @@
 A page's tree of block elements is folded into its label paths: siblings of one label become one node that holds the texts
 of all of them.  So pages that differ only in how many paragraphs or links they have share one tree, and a host has few
 distinct trees.  The tree that most pages of a host have is its wrapper; every other tree of the host is aligned to it by
-simple tree matching (the largest order-preserving match of equal labels, level by level).  A wrapper node whose text is the
-same on all pages that have it is template, a node whose text varies is a slot.  The content is the text of the slots,
-less those that are set apart by their element or name (menus, headers, footers, sidebars, notices, adverts, forms,
-comments) and those made of links; where pages mark their article, it is the content and the rest is not.
+simple tree matching (the largest order-preserving match of equal labels, level by level), and nodes without a match extend
+it below the node that their parent is matched with.  A block whose text is on most pages that have its node is template, the
+others are slots.  The content is the slots, less those that are set apart by their element or name (menus, headers,
+footers, sidebars, notices, adverts, forms, comments) and those made of links; where pages mark their article, it is the
+slots inside the article, and names there count only on hosts too small to tell by alignment.  Copies of a page count once.
 
 Only trees are gathered by host; texts are counted by their hashes, and the html itself is read where it lies.
 """
@@ -47,8 +48,14 @@ APART_WORDS = frozenset(
 )
 MAIN = frozenset(["article", "main"])
 MAIN_WORDS = frozenset("article main articlebody entry post".split())
+#: Words that may stand beside those above in one class, id or role, as in site-footer or entry-content.
+BESIDE_APART = frozenset("site page main top bottom primary secondary global area wrapper container section box bar list block inner outer".split())
+BESIDE_MAIN = frozenset("content body text".split())
+COMMENTS = frozenset("comment comments disqus respond reply replies".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 LINKED = 0.5  # a slot with more of its text in links than this is a menu
 SEVERAL = 3  # pages that must share a text for it to be template
+MOSTLY = 0.5  # part of the pages with a node that must share a text for it to be template
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|([^<]+|<)", re.S)
 _NAMED = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
@@ -68,8 +75,9 @@ class Page:
 
 
 def _label(tag: str, attributes: str) -> str:
-    names = [n for m in _NAMED.finditer(attributes) for n in _WORD.findall((m[2] or m[3] or m[4] or "").lower())] if attributes.strip() else []
-    return ".".join([tag, *sorted({n for n in names if not n.isdigit()})])
+    tokens = [t for m in _NAMED.finditer(attributes) for t in (m[2] or m[3] or m[4] or "").lower().split()] if attributes.strip() else []
+    names = {"-".join(w for w in _WORD.findall(t) if not w.isdigit()) for t in tokens}
+    return ".".join([tag, *sorted(names - {""})])
 
 
 def fold(text: str | None) -> Page:
@@ -201,32 +209,47 @@ def align(tree: str, wrapper: str) -> list[int]:
     return out
 
 
-def _apart(label: str, inside_main: bool) -> bool:
-    tag, *names = label.split(".")
-    if tag in APART or (tag == "header" and not inside_main):
-        return True
-    return tag not in MAIN and tag not in ("html", "body", "p", "h1") and any(n in APART_WORDS for n in names)
+def node_keys(tree: str, match: list[int]) -> list[int]:
+    """Nodes of the extended wrapper: the matched one, or below zero a hash of the parent's and the label."""
+    parents, labels, _ = read_tree(tree)
+    out: list[int] = []
+    for k, m in enumerate(match):
+        out.append(m if m >= 0 else -1 - (_hash(f"{out[parents[k]]} {labels[k]}") >> 1 & (1 << 62) - 1))
+    return out
+
 
+def _says(names: list[str], words: frozenset, beside: frozenset = frozenset()) -> bool:
+    """Whether a whole class, id or role is made of ``words``, and maybe ones that stand ``beside`` them."""
+    split = [n.split("-") for n in names]
+    return any(any(w in words for w in ws) and all(w in words or w in beside for w in ws) for ws in split)
 
-def content_nodes(tree: str, template: list[bool], linked: list[float]) -> list[int]:
-    """The nodes whose blocks are content, for a page with this tree.
 
-    ``template``: node by node, whether its text is the same on all pages of the host; ``linked``: the part of its text in links.
+def content_nodes(tree: str, decided: list[bool], linked: list[float]) -> tuple[list[int], list[int]]:
+    """The nodes whose blocks are content unless they are template, for a page with this tree, and those to fall back on.
+
+    ``decided``: node by node, whether enough pages have it to tell template from slots; ``linked``: the part of its text in links.
     """
     parents, labels, _ = read_tree(tree)
     n = len(labels)
-    main, apart = [False] * n, [False] * n
+    told = list(decided)
+    for k in range(n - 1, 0, -1):
+        told[parents[k]] |= told[k]
+    main, apart, named = [False] * n, [False] * n, [False] * n
     for k in range(n):
         up = parents[k]
         tag, *names = labels[k].split(".")
-        above = up >= 0 and main[up]
-        apart[k] = (up >= 0 and apart[up]) or _apart(labels[k], above)
-        main[k] = not apart[k] and (above or tag in MAIN or tag in ("div", "section", "td") and any(x in MAIN_WORDS for x in names))
-    strict = [k for k in range(n) if main[k]]
-    if strict:
-        return strict
-    slots = [k for k in range(n) if not apart[k] and not template[k] and linked[k] <= LINKED]
-    return slots or [k for k in range(n) if not apart[k] and linked[k] <= LINKED]
+        above, below = up >= 0 and main[up], up >= 0 and named[up]
+        apart[k] = (up >= 0 and apart[up]) or tag in APART or (tag == "header" and not above)
+        marked = tag in MAIN or tag in ("div", "section", "td") and not below and _says(names, MAIN_WORDS, BESIDE_MAIN)
+        main[k] = not apart[k] and (above or marked)
+        own = tag not in MAIN and tag not in ("html", "body", "p", "h1") and _says(names, APART_WORDS, BESIDE_APART)
+        if own and above and told[k] and not _says(names, COMMENTS, APART_WORDS | BESIDE_APART):
+            own = False  # the alignment tells
+        named[k] = own or below and not (tag in MAIN and not above)
+    menu = [linked[k] > LINKED and labels[k].partition(".")[0] not in HEADINGS for k in range(n)]
+    if any(main):
+        return [k for k in range(n) if main[k] and not named[k] and not menu[k]], [k for k in range(n) if main[k]]
+    return [k for k in range(n) if not apart[k] and not named[k] and linked[k] <= LINKED], [k for k in range(n) if not apart[k]]
 
 
 def _hash(text: str) -> int:
@@ -234,24 +257,26 @@ def _hash(text: str) -> int:
 
 
 def page_trees(pages: DataFrame, html_col: str = "html") -> DataFrame:
-    """``_host``, ``_tree`` and, node by node, ``_texts`` (hash, 0 for none), ``_chars`` and ``_links`` of every page."""
+    """``_host``, ``_tree`` and the distinct blocks of every page, as arrays: ``_node``, ``_said`` (hash of the text), ``_chars``,
+    ``_links``, and ``_first`` (one for the first block of each node); pages with equal ``_page`` have the same tree and texts."""
 
     def run(columns):
-        trees, texts, chars, links = [], [], [], []
+        out = [[] for _ in range(7)]
         for html in columns[1]:
             page = fold(html)
-            said: list[list[str]] = [[] for _ in page.labels]
-            inside = [0] * len(page.labels)
+            seen: dict[tuple[int, int], list[int]] = {}
             for node, block, linked in page.blocks:
-                said[node].append(block)
-                inside[node] += min(linked, len(block))
-            trees.append(page.tree())
-            texts.append([_hash("\n".join(s)) if s else 0 for s in said])
-            chars.append([sum(map(len, s)) for s in said])
-            links.append(inside)
-        return [columns[0], trees, texts, chars, links]
-
-    schema = "_host string, _tree string, _texts array<bigint>, _chars array<bigint>, _links array<bigint>"
+                sums = seen.setdefault((node, _hash(block)), [0, 0])
+                sums[0] += len(block)
+                sums[1] += min(linked, len(block))
+            tree, nodes = page.tree(), [n for n, _ in seen]
+            first = {n: i for i, n in reversed([*enumerate(nodes)])}
+            row = [_hash(f"{tree} {[*seen]}"), tree, nodes, [h for _, h in seen], [c for c, _ in seen.values()], [x for _, x in seen.values()], [int(first[n] == i) for i, n in enumerate(nodes)]]
+            for column, value in zip(out, row):
+                column.append(value)
+        return [columns[0], *out]
+
+    schema = "_host string, _page bigint, _tree string, _node array<int>, _said array<bigint>, _chars array<bigint>, _links array<bigint>, _first array<int>"
     return map_rows(pages.select("_host", html_col), run, schema)
 
 
@@ -261,33 +286,47 @@ def host_of(url):
 
 
 def induce(pages: DataFrame, html_col: str = "html") -> DataFrame:
-    """For each host and tree (``_host``, ``_tree``) the ``nodes`` whose blocks are content."""
-    rows = cut_lineage(page_trees(pages, html_col))
+    """For each host and tree (``_host``, ``_tree``): ``nodes`` and ``others`` of `content_nodes`, and the blocks that are
+    template by their nodes and hashes (``same_nodes``, ``same_texts``)."""
+    rows = cut_lineage(page_trees(pages, html_col).dropDuplicates(["_host", "_page"]))
     trees = cut_lineage(rows.groupBy("_host", "_tree").agg(F.count("*").alias("n")))
     wrapper = trees.groupBy("_host").agg(F.max(F.struct("n", "_tree"))["_tree"].alias("_wrapper"))
 
     def aligned(columns):
-        return [columns[0], columns[1], [align(t, w) for t, w in zip(columns[1], columns[2])]]
+        return [columns[0], columns[1], [node_keys(t, align(t, w)) for t, w in zip(columns[1], columns[2])]]
 
     matched = trees.join(wrapper, "_host").select("_host", "_tree", "_wrapper")
-    matched = cut_lineage(map_rows(matched, aligned, "_host string, _tree string, _match array<int>"))
-    nodes = rows.join(matched, ["_host", "_tree"]).select("_host", F.explode(F.arrays_zip("_match", "_texts", "_chars", "_links")).alias("x"))
-    nodes = nodes.select("_host", F.col("x._match").alias("node"), F.col("x._texts").alias("said"), F.col("x._chars").alias("chars"), F.col("x._links").alias("links"))
-    nodes = nodes.filter("node >= 0 and said <> 0")
-    by_text = nodes.groupBy("_host", "node", "said").agg(F.count("*").alias("n"), F.sum("chars").alias("chars"), F.sum("links").alias("links"))
-    same = (F.max("n") == F.sum("n")) & (F.sum("n") >= SEVERAL)
-    by_node = by_text.groupBy("_host", "node").agg(same.alias("template"), (F.sum("links") / F.sum("chars")).alias("linked"))
-    known = by_node.groupBy("_host").agg(F.collect_list(F.struct("node", "template", "linked")).alias("known"))  # the nodes of one tree
+    matched = cut_lineage(map_rows(matched, aligned, "_host string, _tree string, _keys array<bigint>"))
+    keyed = rows.join(matched, ["_host", "_tree"]).withColumn("_key", F.transform("_node", lambda n: F.col("_keys")[n]))
+    found = keyed.select("_host", F.explode(F.arrays_zip("_key", "_said", "_chars", "_links", "_first")).alias("x"))
+    found = found.select("_host", *[F.col(f"x._{c}").alias(c) for c in ("key", "said", "chars", "links", "first")])
+    by_text = found.groupBy("_host", "key", "said").agg(F.count("*").alias("n"), *[F.sum(c).alias(c) for c in ("chars", "links", "first")])
+    by_node = by_text.groupBy("_host", "key").agg(F.sum("first").alias("pages"), (F.sum("links") / F.sum("chars")).alias("linked"))
+    often = by_text.filter(F.col("n") >= SEVERAL).join(by_node, ["_host", "key"]).filter(F.col("n") >= MOSTLY * F.col("pages"))
+    same = often.groupBy("_host", "key").agg(F.collect_list("said").alias("same"))  # at most 1 / MOSTLY times the blocks of a page
+    known = by_node.join(same, ["_host", "key"], "left").groupBy("_host").agg(F.collect_list(F.struct("key", "pages", "linked", "same")).alias("known"))
 
     def chosen(columns):
-        out = []
-        for tree, match, known in zip(*columns[1:]):
-            seen = {x["node"]: x for x in known or []}
-            found = [seen.get(m) for m in match]
-            out.append(content_nodes(tree, [bool(x and x["template"]) for x in found], [x["linked"] if x else 0.0 for x in found]))
-        return [columns[0], columns[1], out]
+        out = [[] for _ in range(4)]
+        for tree, keys, known in zip(*columns[1:]):
+            seen = {x["key"]: x for x in known or []}
+            found = [seen.get(k) for k in keys]
+            nodes, others = content_nodes(tree, [bool(x and x["pages"] >= SEVERAL) for x in found], [x["linked"] if x else 0.0 for x in found])
+            blocks = [(k, h) for k, x in enumerate(found) if x for h in x["same"] or ()]
+            for column, value in zip(out, (nodes, others, [k for k, _ in blocks], [h for _, h in blocks])):
+                column.append(value)
+        return [columns[0], columns[1], *out]
+
+    schema = "_host string, _tree string, nodes array<int>, others array<int>, same_nodes array<int>, same_texts array<bigint>"
+    return map_rows(matched.join(known, "_host", "left"), chosen, schema)
+
 
-    return map_rows(matched.join(known, "_host", "left"), chosen, "_host string, _tree string, nodes array<int>")
+def page_text(html: str | None, nodes: list[int], others: list[int], same: set[tuple[int, int]]) -> str:
+    """Blocks of ``nodes`` that are no template; if that leaves nothing, all of ``nodes``, and then of ``others``."""
+    blocks, marked, kept = fold(html).blocks, {n for n, _ in same}, set(nodes)
+    inside = [(n, b) for n, b, _ in blocks if n in kept]
+    text = " ".join(b for n, b in inside if n not in marked or (n, _hash(b)) not in same) or " ".join(b for _, b in inside)
+    return text or " ".join(b for n, b, _ in blocks if n in set(others))
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
@@ -308,11 +347,8 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     treed = map_rows(pages, tree, f"{schema}, _tree string").join(wrappers, ["_host", "_tree"], "left")
 
     def text(columns):
-        out = []
-        for html, nodes in zip(columns[2], columns[3]):
-            kept = set(nodes or ())
-            out.append(" ".join(block for node, block, _ in fold(html).blocks if node in kept))
+        out = [page_text(h, n or [], o or [], set(zip(a or (), b or ()))) for h, n, o, a, b in zip(*columns[2:])]
         return [columns[0], columns[1], out, list(map(len, out))]
 
-    made = map_rows(treed.select("_id", "_url", "_html", "nodes"), text, f"_id {kinds['_id']}, _url {kinds['_url']}, text string, n_chars long")
+    made = map_rows(treed.select("_id", "_url", "_html", "nodes", "others", "same_nodes", "same_texts"), text, f"_id {kinds['_id']}, _url {kinds['_url']}, text string, n_chars long")
     return made.select(F.col("_id").alias(id_col), F.col("_url").alias(url_col), "text", "n_chars")
