@@ -191,6 +191,13 @@ def test_template_inside_marked_articles(spark):
     assert texts_of(spark, copies) == ["Title 0 Text 0 Share this page"] * 5
 
 
+def test_names_do_not_drop_articles(spark):
+    page = '<body class="x"><div class="layout sidebar"><article><header class="entry-header"><h1>T{0}</h1></header><div class="related-work"><p>R{0}</p></div><div class="comments"><p>C{0}</p></div></article></div></body>'
+    assert texts_of(spark, [page.format(0)]) == ["T0 R0"]
+    assert texts_of(spark, ['<div class="notice-period"><p>three months</p></div><div class="site-footer">f</div>']) == ["three months"]
+    assert texts_of(spark, ['<div class="notice"><p>only this</p></div>']) == ["only this"]
+
+
 def test_pages_query(spark):
     import html
 
