@@ -198,6 +198,13 @@ def test_names_do_not_drop_articles(spark):
     assert texts_of(spark, ['<div class="notice"><p>only this</p></div>']) == ["only this"]
 
 
+def test_all_layouts_of_a_host(spark):
+    one = "<body><div class=a><p>One {0}</p><p>Read our terms</p></div></body>"
+    two = "<body><section class=b><p>Two {0}</p><p>Second notice</p><ul><li><a href=x>go {0}</a></li></ul></section></body>"
+    got = texts_of(spark, [one.format(i) for i in range(6)] + [two.format(i) for i in range(4)])
+    assert got == [f"One {i}" for i in range(6)] + [f"Two {i}" for i in range(4)]
+
+
 def test_pages_query(spark):
     import html
 
