@@ -300,8 +300,8 @@ def induce(pages: DataFrame, html_col: str = "html") -> DataFrame:
     keyed = rows.join(matched, ["_host", "_tree"]).withColumn("_key", F.transform("_node", lambda n: F.col("_keys")[n]))
     found = keyed.select("_host", F.explode(F.arrays_zip("_key", "_said", "_chars", "_links", "_first")).alias("x"))
     found = found.select("_host", *[F.col(f"x._{c}").alias(c) for c in ("key", "said", "chars", "links", "first")])
-    by_text = found.groupBy("_host", "key", "said").agg(F.count("*").alias("n"), *[F.sum(c).alias(c) for c in ("chars", "links", "first")])
-    by_node = by_text.groupBy("_host", "key").agg(F.sum("first").alias("pages"), (F.sum("links") / F.sum("chars")).alias("linked"))
+    by_text = found.groupBy("_host", "key", "said").agg(F.count("*").alias("n"))
+    by_node = found.groupBy("_host", "key").agg(F.sum("first").alias("pages"), (F.sum("links") / F.sum("chars")).alias("linked"))
     often = by_text.filter(F.col("n") >= SEVERAL).join(by_node, ["_host", "key"]).filter(F.col("n") >= MOSTLY * F.col("pages"))
     same = often.groupBy("_host", "key").agg(F.collect_list("said").alias("same"))  # at most 1 / MOSTLY times the blocks of a page
     known = by_node.join(same, ["_host", "key"], "left").groupBy("_host").agg(F.collect_list(F.struct("key", "pages", "linked", "same")).alias("known"))
