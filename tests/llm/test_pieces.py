@@ -97,3 +97,8 @@ def test_queries(spark):
         assert r.n_tokens == len(SP.encode(texts[r.doc_id])) + 2
     for r in QUERIES["op7_token_counts"](spark, sf).collect():
         assert r.n_tokens == len(SP.encode(texts[r.doc_id]))
+
+
+@pytest.mark.parametrize("text", ["ʄ", "hello ʄ world", "日本語龘", "aʄ", "ʄa", "aʄb ʄ. b龘龘c龘", "Straßeʄ, naïveʄʄ!"])
+def test_letters_outside_the_vocabulary(text):
+    check(text)

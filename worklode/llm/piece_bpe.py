@@ -203,10 +203,10 @@ class Encoder:
         return b"".join(out)
 
     def _word(self, word: str) -> bytes:
-        """A word with the space before it; most words are letters with marks behind them."""
+        """A word with the space before it; most words are letters of the vocabulary with marks behind them."""
         stem = word.rstrip(MARKS)
         k = len(stem)
-        if 0 < k <= self.longest and stem.isalpha():
+        if 0 < k <= self.longest and stem.isalpha() and all(map(self.ids.__contains__, stem)):
             if k == len(word):
                 return self.parts[SPACE + word]
             if word[k - 1 : k + 1] not in self.inside:
