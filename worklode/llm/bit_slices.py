@@ -136,7 +136,7 @@ def _positions(bitmap: np.ndarray) -> np.ndarray:
 
 
 def build_index(rows: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", scale: int = 256) -> DataFrame:
-    """The index: a row per block with ``block``, ``ids``, ``low``, ``digits`` and ``bits`` (arrays as bytes), written once.
+    """The index: a row per block with ``block``, ``scale``, ``ids``, ``low``, ``digits`` and ``bits`` (arrays as bytes), written once.
 
     Rows without an id, and rows whose vector is null or holds null or non-finite components, are not indexed.  A shorter
     vector has zeros behind; rows may repeat.
@@ -152,25 +152,26 @@ def build_index(rows: DataFrame, id_col: str = "vec_id", vector_col: str = "embe
         ids = ids[order]
         low, digits, bits = Slices.cut(ids, values[order])
         parts = {"ids": ids, "low": low, "digits": digits, "bits": bits}
-        return pd.DataFrame({"block": rows["block"].iloc[:1], **{k: [v.tobytes()] for k, v in parts.items()}})
+        return pd.DataFrame({"block": rows["block"].iloc[:1], "scale": scale, **{k: [v.tobytes()] for k, v in parts.items()}})
 
     rows = rows.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int"))
-    schema = "block int, ids binary, low binary, digits binary, bits binary"
+    schema = "block int, scale int, ids binary, low binary, digits binary, bits binary"
     return cut_lineage(reachable(rows).groupBy("block").applyInPandas(cut, schema))
 
 
-def search(
-    index: DataFrame, queries: DataFrame, k: int = 5, id_col: str = "vec_id", vector_col: str = "embedding", scale: int = 256
-) -> DataFrame:
+def search(index: DataFrame, queries: DataFrame, k: int = 5, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """The ``k`` rows of the index with the largest inner product with each query, other than the query's own id.
 
     Columns: ``query_id``, ``rank`` (from 1), ``vec_id``, ``score``; fewer rows if the index has fewer; ties to the smaller
     id.  Queries without an id or with a vector that cannot be indexed give no rows; equal query rows count once.
-    Components of a query beyond those of the index meet zeros.  Every query meets every block once.
+    Components of a query beyond those of the index meet zeros; they are quantised by the index's own scale.  Every query
+    meets every block once.
     """
+    held = index.select("block", "scale").collect()  # two numbers per block
+    scale = held[0]["scale"] if held else 1
     queries = queries.select(F.col(id_col).cast("long").alias("query_id"), quantised(F.col(vector_col), scale).alias("v"))
     queries = cut_lineage(queries.filter("query_id is not null and v is not null").dropDuplicates())
-    blocks, n = index.count(), queries.count()
+    blocks, n = len(held), queries.count()
     parts = max(-(-n // QUERIES), min(-(-TASKS // max(blocks, 1)), -(-n // 16)), 1)
 
     def best(held: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
@@ -186,11 +187,11 @@ def search(
                 out.append(pd.DataFrame({"query_id": query_id, "vec_id": found, "score": scores}))
         return pd.concat(out) if out else pd.DataFrame({"query_id": [], "vec_id": [], "score": []}).astype("int64")
 
-    held = index.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
-    numbers = index.select("block")  # one number per block
+    numbers = F.array(*[F.lit(r["block"]) for r in held]) if held else F.array().cast("array<int>")
+    index = index.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
     asked = queries.withColumn("part", F.pmod(F.xxhash64("query_id"), F.lit(parts)).cast("int"))
-    asked = asked.withColumn("block", F.explode(F.array(*[F.lit(r["block"]) for r in numbers.collect()]) if blocks else F.array().cast("array<int>")))
-    found = reachable(held).groupBy("block", "part").cogroup(asked.groupBy("block", "part"))
+    asked = asked.withColumn("block", F.explode(numbers))
+    found = reachable(index).groupBy("block", "part").cogroup(asked.groupBy("block", "part"))
     found = found.applyInPandas(best, "query_id long, vec_id long, score long")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     ranked = found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
