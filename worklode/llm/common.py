@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterator, Sequence
 from pathlib import Path
 
@@ -11,7 +12,17 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import _parse_datatype_string
 
-from worklode.session import cut_lineage
+from worklode.session import cut_lineage, shared_dir
+
+
+def written(df: DataFrame) -> DataFrame:
+    """Write ``df`` as a table of its own in the shared folder and go on from there: unlike a checkpoint it has sizes that the
+    optimizer knows, and one plan may use it several times."""
+    spark = df.sparkSession
+    path = f"{shared_dir(spark)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -113,5 +124,5 @@ class Cache(dict):
 
 
 __all__ = [
-    "Cache", "arrow_schema", "blocks", "cut_lineage", "keep_rows", "map_batches", "map_rows", "reachable", "read_file", "record_batch", "remainder", "table", "words_of",
+    "Cache", "arrow_schema", "blocks", "cut_lineage", "keep_rows", "map_batches", "map_rows", "reachable", "read_file", "record_batch", "remainder", "table", "words_of", "written",
 ]

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from worklode.llm import bit_slices, chat, language, mixing_lm, piece_bpe, quality_forest, simhash, source_mix, token_counts, wrappers
+from worklode.llm import bit_slices, chat, language, merkle, mixing_lm, piece_bpe, quality_forest, simhash, source_mix, token_counts, wrappers
 from worklode.llm.common import remainder, table
 
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
@@ -76,6 +76,14 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_bpe.round_trip(table(spark, sf_dir, "documents"), PIECES)
 
 
+def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document as a leaf below its source's root; half of them lose their line feeds and are checked by their proofs."""
+    docs = table(spark, sf_dir, "documents")
+    touched = F.when(remainder("doc_id", 2) == 0, F.replace("text", F.lit("\n"), F.lit(""))).otherwise(F.col("text"))
+    built = merkle.build(docs, ["doc_id", "source", "lang", "n_chars", "text"], altered={"text": touched})
+    return merkle.check(built.proofs)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bit_sliced_top_k": op1_bit_sliced_top_k,
     "op2_simhash": op2_simhash,
@@ -87,6 +95,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_quality_forest": op9_quality_forest,
     "op7_token_counts": op7_token_counts,
     "op10_sentencepiece": op10_sentencepiece,
+    "op11_merkle": op11_merkle,
 }
 
 SQL: dict[str, str] = {
@@ -120,4 +129,58 @@ SQL: dict[str, str] = {
             cast(sum(length('### ' || r || ': ' || t || '</turn>' || chr(10))) as bigint) as formatted_chars
         from e group by conv_id
     """,
+    "op11_merkle": r"""
+        with recursive d as (
+            select row_number() over () as rid, *, cast(doc_id as varchar) as i from documents
+        ), bits as (
+            select *, list_reduce(
+                flatten(list_transform(range(length(i)), lambda k: [cast(ascii(i[k + 1]) as bigint), 0, 0, 0, 0, 0, 0, 0])),
+                lambda c, b: xor(xor(c, b) >> 1, (xor(c, b) & 1) * 3988292384), 4294967295::bigint) & 1 = 1 as odd_before
+            from d
+        ), x as (
+            select *, case when odd_before then replace(text, chr(10), '') else text end as touched,
+                coalesce(strlen(i) || ':' || i, '-') || coalesce(strlen(source) || ':' || source, '-')
+                || coalesce(strlen(lang) || ':' || lang, '-') || coalesce(strlen(n_chars::varchar) || ':' || n_chars, '-') as head
+            from bits
+        ), h as (
+            select rid, doc_id, source, sha256(head || coalesce(strlen(text) || ':' || text, '-')) as leaf,
+                sha256(head || coalesce(strlen(touched) || ':' || touched, '-')) as held from x
+        ), g as (
+            select source, count(*) as n, row_number() over (order by source nulls first) - 1 as tree from h group by source
+        ), r as (
+            select rid, doc_id, leaf, held, tree, n, row_number() over (partition by tree order by doc_id nulls first, leaf) - 1 as j
+            from h join g on h.source is not distinct from g.source
+        ), lv(tree, lev, j, n, digest) as (
+            select tree, 0, j, n, leaf from r
+            union all
+            select tree, lev + 1, j // 3, (n + 2) // 3, sha256(string_agg(digest, '' order by j)) from lv where n > 1
+            group by tree, lev, j // 3, n
+        ), tp(lev, j, n, digest) as (
+            select 0, tree, (select count(*) from g), digest from lv where n = 1
+            union all
+            select lev + 1, j // 3, (n + 2) // 3, sha256(string_agg(digest, '' order by j)) from tp where n > 1 group by lev, j // 3, n
+        ), st as (
+            select rid, lev, coalesce(string_agg(digest, '' order by lv.j) filter (lv.j < r.j // cast(pow(3, lev) as bigint)), '') as before,
+                coalesce(string_agg(digest, '' order by lv.j) filter (lv.j > r.j // cast(pow(3, lev) as bigint)), '') as after
+            from r join lv on r.tree = lv.tree and lv.n > 1 and lv.j // 3 = r.j // cast(pow(3, lev + 1) as bigint) group by rid, lev
+            union all
+            select rid, 1000 + lev, coalesce(string_agg(digest, '' order by tp.j) filter (tp.j < tree // cast(pow(3, lev) as bigint)), ''),
+                coalesce(string_agg(digest, '' order by tp.j) filter (tp.j > tree // cast(pow(3, lev) as bigint)), '')
+            from r join tp on tp.n > 1 and tp.j // 3 = tree // cast(pow(3, lev + 1) as bigint) group by rid, lev
+        ), nr as (
+            select *, row_number() over (partition by rid order by lev) as k from st
+        ), fo(rid, k, cur) as (
+            select rid, 0, held from r
+            union all
+            select fo.rid, fo.k + 1, sha256(before || cur || after) from fo join nr on nr.rid = fo.rid and nr.k = fo.k + 1
+        ), z as (
+            select rid, arg_max(cur, k) as folded_root from fo group by rid
+        ), pf as (
+            select rid, string_agg(before || after, '' order by k) as proof from nr group by rid
+        )
+        select doc_id, leaf, s.digest as subroot, t.digest as root, sha256(coalesce(proof, '')) as proof_sha256, folded_root,
+            folded_root = t.digest as verified
+        from r join z on z.rid = r.rid left join pf on pf.rid = r.rid join lv s on s.tree = r.tree and s.n = 1
+        join tp t on t.n = 1
+    """,
 }
