@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from worklode.llm import bit_slices, chat, language, merkle, mixing_lm, piece_bpe, quality_forest, simhash, source_mix, token_counts, wrappers
+from worklode.llm import bit_slices, chat, language, merkle, mixing_lm, piece_bpe, quality_forest, simhash, source_mix, token_counts, whitening, wrappers
 from worklode.llm.common import remainder, table
 
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
@@ -84,6 +84,13 @@ def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.check(built.proofs)
 
 
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Eight whitened components of every vector, fitted on all of them."""
+    rows = table(spark, sf_dir, "embeddings")
+    out = whitening.whiten(rows, whitening.fit(rows), k=8)
+    return out.withColumn("deviation", F.col("deviation").cast("long"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bit_sliced_top_k": op1_bit_sliced_top_k,
     "op2_simhash": op2_simhash,
@@ -96,6 +103,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_token_counts": op7_token_counts,
     "op10_sentencepiece": op10_sentencepiece,
     "op11_merkle": op11_merkle,
+    "op12_whitening": op12_whitening,
 }
 
 SQL: dict[str, str] = {
