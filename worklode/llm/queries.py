@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from worklode.llm import bit_slices, chat, language, merkle, mixing_lm, piece_bpe, quality_forest, simhash, source_mix, token_counts, whitening, wrappers
+from worklode.llm import bit_slices, chat, language, merkle, mixing_lm, pii, piece_bpe, quality_forest, simhash, source_mix, token_counts, whitening, wrappers
 from worklode.llm.common import remainder, table
 
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
@@ -91,6 +91,11 @@ def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumn("deviation", F.col("deviation").cast("long"))
 
 
+def op13_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every document: base spans as counts and digest, and all spans."""
+    return pii.digests(pii.find_personal_data(table(spark, sf_dir, "documents")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bit_sliced_top_k": op1_bit_sliced_top_k,
     "op2_simhash": op2_simhash,
@@ -104,6 +109,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_sentencepiece": op10_sentencepiece,
     "op11_merkle": op11_merkle,
     "op12_whitening": op12_whitening,
+    "op13_pii": op13_pii,
 }
 
 SQL: dict[str, str] = {
