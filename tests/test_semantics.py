@@ -126,7 +126,30 @@ def test_change_log_and_undo(spark):
     log = upsert.change_log(after, before, "k", ["v", "w"])
     kinds = {r.k: (r.change_type, r.changed_columns) for r in log.collect()}
     assert kinds == {2: ("UPDATE", ["v", "w"]), 3: ("DELETE", None), 4: ("INSERT", None)}
-    assert sorted(upsert.undo_batch(after, log, "k", ["v", "w"]).collect()) == sorted(before.collect())
+    assert sorted(upsert.undo_batch(after, log, "k").collect()) == sorted(before.collect())
+
+
+def test_undo_restores_whole_rows(spark):
+    """Columns that the log did not watch come back too, with times, decimals and nulls as they were."""
+    schema = "k int, v string, at timestamp, local timestamp_ntz, pay decimal(12,2), far double"
+    before = spark.sql("""select * from values (1, 'a', timestamp '2026-01-02 03:04:05.678901', timestamp_ntz '1999-12-31 23:59:59.000001', 10.10, 0.1D),
+        (2, 'b', null, null, null, 1e300D), (3, null, timestamp '2020-01-01 00:00:00', null, 0.01, 3D) as t(k, v, at, local, pay, far)""")
+    before = before.select(*[F.col(c.split()[0]).cast(c.split()[1]) for c in schema.replace("12,2", "12;2").split(", ") if ";" not in c], F.col("pay").cast("decimal(12,2)"))
+    after = before.filter("k <> 1").withColumn("v", F.when(F.col("k") == 2, "B")).withColumn("far", F.lit(7.0))
+    log = upsert.change_log(after, before, "k", ["v"])
+    got = {r.k: r for r in upsert.undo_batch(after, log, "k").collect()}
+    want = {r.k: r for r in before.collect()}
+    assert got[1] == want[1] and got[2] == want[2] and got[3].far == 7.0
+
+
+def test_state_of_a_load_comes_from_one_join(spark):
+    now = ts("2026-06-07")
+    staged = spark.createDataFrame([("a", "s1", "new", True, now), ("n", "s1", "h", True, now)], JOB)
+    current = spark.createDataFrame([("a", "s1", "h", True, now), ("b", "s1", "h", True, ts("2026-01-01")), ("c", "s9", "h", True, ts("2026-01-01"))], JOB)
+    state = upsert.apply_changes(upsert.compared(staged, current, "job_id", "source_name", "2026-06-07", 7))
+    assert {(r.job_id, r.record_hash, r.is_active) for r in state.collect()} == {("a", "new", True), ("n", "h", True), ("b", "h", False), ("c", "h", True)}
+    plan = state._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("FullOuter") == 1 and "LeftAnti" not in plan and "LeftSemi" not in plan
 
 
 def test_soft_delete_logs_the_state_before_and_skips_done_rows(spark):
@@ -197,7 +220,7 @@ def test_sector_by_company_then_title(spark):
 def test_sector_scores_title_twice_and_ties_to_the_lower_id(spark):
     words = literal_dictionary([{"sector_id": 1, "words": ["software", "cloud"]}, {"sector_id": 3, "words": ["nurse", "health"]}], ["sector_id", "words"])
     df = spark.createDataFrame([(0, "Software nurse", "health"), (1, "software", "nurse health"), (2, "x", None)], "id int, t string, d string")
-    got = [(r.sector_id, r.sector_score, r.second_sector_id) for r in classify.score_sectors(df, "t", "d", words).orderBy("id").collect()]
+    got = [(r.sector_id, r.sector_score, r.second_sector_id) for r in classify.score_sectors(df, "id", "t", "d", words).orderBy("id").collect()]
     assert got == [(3, 3, 1), (1, 2, 3), (-1, 0, None)]
 
 
@@ -421,12 +444,3 @@ def test_dictionaries_from_taxonomy_files(spark, tmp_path):
     assert got == {"Software": ("TECH", "exact_keyword", 1.0), "The Software Publishing Industry": ("SW", "exact_keyword", 1.0), "Farming": (None, None, 0.0)}
     rolled = {r.s: (r.code, r.method) for r in classify.normalize_sectors(labels, "s", catalogs.sector_dictionary(sectors), taxonomy, level_cap=1).collect()}
     assert rolled["The Software Publishing Industry"] == ("TECH", "hierarchical_rollup")
-
-
-def test_dictionary_bound_is_checked(spark, monkeypatch):
-    from worklode.operators import dictionaries
-
-    monkeypatch.setattr(dictionaries, "LARGEST", 3)
-    df = spark.range(4).selectExpr("cast(id as string) as alias")
-    with pytest.raises(Exception, match="more than 3 rows"):
-        spark.range(1).select(dictionaries.table_dictionary(df, ["alias"], ["alias"])).collect()

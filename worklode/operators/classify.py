@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from worklode.functions import fixed_values as fixed
 from worklode.functions.text import first_group_hit, matching_sector_name, untagged_title
-from worklode.operators.dictionaries import bind
+from worklode.operators.dictionaries import bind, contained
 from worklode.operators.ranking import best_per_key
 
 
@@ -31,137 +31,134 @@ def assign_sector(
     ).drop("_company", "_title", "_by_company", "_by_title")
 
 
-def score_sectors(df: DataFrame, title: str, description: str, dictionary: Column, threshold: int = 1) -> DataFrame:
+def score_sectors(df: DataFrame, key: str, title: str, description: str, dictionary: DataFrame, threshold: int = 1) -> DataFrame:
     """Best and second sector by keyword hits: 2 per word in the title, 1 per word in the description.
 
-    ``dictionary``: array of (sector_id, words).  Equal scores go to the lower id; below the threshold the
-    sector is -1 and the second is null.
+    ``dictionary``: sector_id, words; any number of both.  Equal scores go to the lower id; below the threshold the sector is
+    -1 and the second is null.  ``key`` is unique.
     """
-
-    def hits(text: Column, words: Column) -> Column:
-        return F.size(F.filter(words, lambda w: F.contains(text, w)))
-
-    def scored(texts: Column) -> Column:
-        return F.transform(
-            "_dictionary",
-            lambda d: F.struct(
-                (hits(texts["t"], d["words"]) * 2 + hits(texts["d"], d["words"])).alias("score"), (-d["sector_id"]).alias("neg_id")
-            ),
-        )
-
-    texts = F.struct(F.lower(F.coalesce(title, F.lit(""))).alias("t"), F.lower(F.coalesce(description, F.lit(""))).alias("d"))
-    ranked = df.withColumn("_dictionary", dictionary).withColumn("_ranked", F.reverse(F.array_sort(F.filter(bind(texts, scored), lambda s: s["score"] >= threshold))))
-    first, second = F.get("_ranked", F.lit(0)), F.get("_ranked", F.lit(1))
-    return ranked.withColumns(
+    words = dictionary.select("sector_id", F.explode("words").alias("_w"))
+    fields = F.inline(F.array(*[F.struct(F.lit(n).alias("_points"), F.lower(c).alias("_t")) for c, n in ((title, 2), (description, 1))]))
+    hits = contained(df.select(key, fields).filter("_t is not null"), [key, "_points"], "_t", words, "_w")
+    scores = hits.join(words, "_w").groupBy(key, "sector_id").agg(F.sum("_points").cast("int").alias("_s")).filter(F.col("_s") >= threshold)
+    top = best_per_key(scores, [key], [F.desc("_s"), F.asc("sector_id")], 2)
+    best = top.groupBy(key).agg(F.sort_array(F.collect_list(F.struct((-F.col("_s")).alias("n"), "sector_id"))).alias("_b"))
+    first, second = F.get("_b", F.lit(0)), F.get("_b", F.lit(1))
+    return df.join(best, key, "left").withColumns(
         {
-            "sector_id": F.coalesce(-first["neg_id"], F.lit(-1)),
-            "sector_score": F.coalesce(first["score"], F.lit(0)),
-            "second_sector_id": -second["neg_id"],
+            "sector_id": F.coalesce(first["sector_id"], F.lit(-1)),
+            "sector_score": F.coalesce(-first["n"], F.lit(0)),
+            "second_sector_id": second["sector_id"],
         }
-    ).drop("_ranked", "_dictionary")
+    ).drop("_b")
 
 
-def extract_skills(df: DataFrame, key: str, text: Column, dictionary: Column, sector: Column | None = None, whole_words: bool = False) -> DataFrame:
-    """One row per (record, skill): the skill's first keyword found, with up to 30 characters around it.
+def evidence(text: Column, word: Column, around: int = 30) -> Column:
+    """The first place of a word with up to ``around`` characters of its line on both sides.
 
-    ``dictionary``: array of (skill, words, sector); entries without a sector apply to all, the others to
-    their own sector and, for two-digit codes, to sectors sharing the first digit.  Keywords are plain
-    text (escaped), found anywhere or as whole words.
+    Where the word comes again within ``around`` characters of where the excerpt starts, the excerpt reaches on from there.
     """
-    code = sector if sector is not None else F.lit(None).cast("string")
-    same_family = (F.length(code) == 2)
+    n = F.length(word)
 
-    def applies(d: Column) -> Column:
-        return d["sector"].isNull() | F.coalesce((d["sector"] == code) | (same_family & (F.left(d["sector"], F.lit(1)) == F.left(code, F.lit(1)))), F.lit(False))
+    def line_start(w: Column) -> Column:
+        before = F.substring_index(F.substring(w["near"], F.lit(1), w["lead"]), "\n", -1)
+        return F.substring(w["near"], w["lead"] - F.length(before) + 1, F.length(w["near"]))
 
-    def quoted(word: Column) -> Column:
-        return F.concat(F.lit(r"\Q"), word, F.lit(r"\E"))
+    def excerpt(near: Column) -> Column:
+        room = F.length(F.substring_index(F.substring(near, 1, around), "\n", 1)) + n
+        last = bind(F.substring(near, F.lit(1), room), lambda x: F.length(x) + 1 - F.position(F.reverse(word), F.reverse(x)))
+        return bind(last, lambda end: F.concat(F.substring(near, F.lit(1), end), F.substring_index(F.substring(near, end + 1, F.lit(around)), "\n", 1)))
 
-    def found(t: Column, word: Column) -> Column:
-        if not whole_words:
-            return F.contains(t, word)
-        return F.contains(t, word) & F.regexp_like(t, F.concat(F.lit(r"(?<![\p{L}\p{N}])"), quoted(word), F.lit(r"(?![\p{L}\p{N}])")))
+    def window(first: Column) -> Column:
+        lead = F.least(first - 1, F.lit(around))
+        return F.struct(F.substring(text, first - lead, lead + n + 2 * around).alias("near"), lead.alias("lead"))
 
-    def search(t: Column) -> Column:
-        first = F.transform(
-            F.filter("_dictionary", applies),
-            lambda d: F.struct(d["skill"].alias("skill"), F.get(F.filter(d["words"], lambda w: found(t, w)), F.lit(0)).alias("word")),
-        )
-        hit = F.filter(first, lambda s: s["word"].isNotNull())
+    first = F.position(word, text)
+    return bind(bind(bind(first, window), line_start), excerpt)
 
-        # (?d): only a line feed ends a line.
-        def around(w: Column) -> Column:
-            return F.call_function("regexp_extract", t, F.concat(F.lit("(?d).{0,30}"), quoted(w), F.lit(".{0,30}")), F.lit(0))
 
-        return F.transform(hit, lambda s: F.struct(s["skill"].alias("skill"), s["word"].alias("word"), around(s["word"]).alias("evidence")))
+def extract_skills(df: DataFrame, key: str, text: Column, dictionary: DataFrame, sector: Column | None = None, whole_words: bool = False) -> DataFrame:
+    """One row per (record, skill): the skill's first keyword found, with up to 30 characters around it.
 
-    listed = df.withColumn("_dictionary", dictionary)
-    rows = listed.select(key, code.alias("sector_context"), F.explode(bind(F.lower(text), search)).alias("_s"))
-    return rows.select(
-        key, F.col("_s.skill").alias("skill"), F.col("_s.word").alias("skill_raw"), F.col("_s.evidence").alias("evidence"),
-        F.lit("KEYWORD").alias("extraction_method"), F.lit(0.95).alias("confidence"), "sector_context",
+    ``dictionary``: skill, words, sector, ord; any number of skills and words.  Entries without a sector apply to all, the
+    others to their own sector and, for two-digit codes, to sectors sharing the first digit.  Keywords are plain text, found
+    anywhere or as whole words.  ``key`` is unique.
+    """
+    code = sector if sector is not None else F.lit(None).cast("string")
+    lines = df.select(key, F.lower(text).alias("_t"), code.alias("sector_context")).filter("_t is not null")
+    words = dictionary.select("ord", "skill", "sector", F.posexplode("words").alias("_no", "_w"))
+    hits = contained(lines, [key], "_t", words, "_w")
+    if whole_words:
+        edge = r"[\p{L}\p{N}]"
+        quoted = F.concat(F.lit(rf"(?<!{edge})\Q"), "_w", F.lit(rf"\E(?!{edge})"))
+        hits = hits.join(lines.select(key, "_t"), key).filter(F.regexp_like("_t", quoted)).select(key, "_w")
+    context, own = F.col("sector_context"), F.col("sector")
+    family = (F.length(context) == 2) & (F.left(own, F.lit(1)) == F.left(context, F.lit(1)))
+    known = hits.join(words, "_w").join(lines.select(key, "sector_context"), key)
+    known = known.filter(own.isNull() | F.coalesce((own == context) | family, F.lit(False)))
+    first = known.groupBy(key, "ord", "skill").agg(F.min(F.struct("_no", "_w"))["_w"].alias("skill_raw"))
+    listed = first.groupBy(key).agg(F.collect_list(F.struct("skill", "skill_raw")).alias("_s"))
+    # The text meets all skills of its record at once.
+    shown = F.transform("_s", lambda s: F.struct(s["skill"].alias("skill"), s["skill_raw"].alias("skill_raw"), evidence(F.col("_t"), s["skill_raw"]).alias("evidence")))
+    return listed.join(lines, key).select(key, "sector_context", F.inline(shown)).select(
+        key, "skill", "skill_raw", "evidence", F.lit("KEYWORD").alias("extraction_method"), F.lit(0.95).alias("confidence"), "sector_context"
     )
 
 
-def match_roles(titles: DataFrame, title: str, dictionary: Column, patterns: list[tuple[str, str, float]] = fixed.ROLE_PATTERNS) -> DataFrame:
+def match_roles(titles: DataFrame, title: str, dictionary: DataFrame, patterns: list[tuple[str, str, float]] = fixed.ROLE_PATTERNS) -> DataFrame:
     """Canonical role, confidence and method for every distinct title.
 
-    ``dictionary``: array of (alias, role, boost) in priority order.  Exact alias first; else the alias with
-    the best substring score (equal scores: the earlier alias); else title patterns.
+    ``dictionary``: alias, role, boost, and its priority in ord; any number of aliases.  Exact alias first; else the alias
+    with the best substring score (equal scores: the earlier alias); else title patterns.
     """
     distinct = titles.select(title).distinct().withColumn("_t", untagged_title(F.col(title)))
-
-    def score(t: Column, d: Column) -> Column:
-        share = F.length(d["alias"]).cast("double") / F.length(t).cast("double")
-        inside = F.contains(t, d["alias"])
-        forward = F.when(share >= 0.2, d["boost"] * 0.95 * F.least(share * 1.5, F.lit(1.0)))
-        backward = F.when(F.contains(d["alias"], t) & (F.length(t) >= 5) & (1 / share >= 0.4), d["boost"] * 0.9)
-        return F.when(F.length(d["alias"]) >= 4, F.when(inside, forward).otherwise(backward))
-
-    def best(t: Column) -> Column:
-        exact = F.filter("_dictionary", lambda d: d["alias"] == t)
-        close = F.filter(
-            F.transform("_dictionary", lambda d: F.struct(score(t, d).alias("score"), (-d["ord"]).alias("rank"), d["role"].alias("role"))),
-            lambda s: s["score"].isNotNull(),
-        )
-        top = F.array_max(close)
-        return (
-            F.when(F.size(exact) > 0, F.struct(exact[0]["role"].alias("role"), exact[0]["boost"].alias("confidence"), F.lit("dictionary").alias("method")))
-            .when(F.size(close) > 0, F.struct(top["role"].alias("role"), top["score"].alias("confidence"), F.lit("dictionary_fuzzy").alias("method")))
-        )
+    cleaned = distinct.filter("_t is not null").select("_t").distinct()
+    aliases = dictionary.filter(F.length("alias") >= 4).select("alias").distinct()
+    inside = contained(cleaned, ["_t"], "_t", aliases, "alias").withColumn("_inside", F.lit(True))
+    around = contained(aliases, ["alias"], "alias", cleaned.filter(F.length("_t") >= 5), "_t").withColumn("_inside", F.lit(False))
+    around = around.filter(F.col("_t") != F.col("alias"))
+    share = F.length("alias").cast("double") / F.length("_t").cast("double")
+    score = F.when(F.col("_inside") & (share >= 0.2), F.col("boost") * 0.95 * F.least(share * 1.5, F.lit(1.0)))
+    score = score.when(~F.col("_inside") & (1 / share >= 0.4), F.col("boost") * 0.9)
+    close = inside.unionByName(around).join(dictionary, "alias").withColumn("_score", score).filter("_score is not null")
+    close = close.select("_t", F.lit(1).alias("_rank"), "_score", "ord", "role", F.lit("dictionary_fuzzy").alias("method"))
+    exact = cleaned.join(dictionary, F.col("_t") == F.col("alias"))
+    exact = exact.select("_t", F.lit(0).alias("_rank"), F.col("boost").alias("_score"), "ord", "role", F.lit("dictionary").alias("method"))
+    # Of exact aliases the first counts, of the others the best.
+    order = F.struct("_rank", F.when(F.col("_rank") == 1, -F.col("_score")).alias("_by"), "ord", "role", "_score", "method")
+    best = close.unionByName(exact).groupBy("_t").agg(F.min(order).alias("_b"))
+    hit = F.struct(F.col("_b.role").alias("role"), F.col("_b._score").alias("confidence"), F.col("_b.method").alias("method"))
 
     by_pattern = F.lit(None).cast("struct<role:string,confidence:double,method:string>")
     for pattern, role, confidence in reversed(patterns):
-        hit = F.struct(F.lit(role).alias("role"), F.lit(confidence).alias("confidence"), F.lit("regex").alias("method"))
-        by_pattern = F.when(F.col(title).rlike(pattern), hit).otherwise(by_pattern)
-    matched = distinct.withColumn("_dictionary", dictionary).withColumn("_m", F.coalesce(bind(F.col("_t"), best), by_pattern))
+        found = F.struct(F.lit(role).alias("role"), F.lit(confidence).alias("confidence"), F.lit("regex").alias("method"))
+        by_pattern = F.when(F.col(title).rlike(pattern), found).otherwise(by_pattern)
+    matched = distinct.join(best, "_t", "left").withColumn("_m", F.when(F.col("_b").isNotNull(), hit).otherwise(by_pattern))
     return matched.select(title, F.col("_m.role").alias("role"), F.col("_m.confidence").alias("confidence"), F.col("_m.method").alias("method"))
 
 
 def normalize_sectors(
-    labels: DataFrame, label: str, keywords: Column, taxonomy: DataFrame, level_cap: int = 4, threshold: float = 0.8
+    labels: DataFrame, label: str, keywords: DataFrame, taxonomy: DataFrame, level_cap: int = 4, threshold: float = 0.8
 ) -> DataFrame:
     """Taxonomy code per distinct sector label.
 
-    ``keywords``: array of (keyword, code, level).  Exact keyword (1.0), else a keyword containing or
-    contained in the label (0.85, the deepest level wins, then the lower code).  Codes below ``level_cap``
-    roll up to their parent at 0.9 of the confidence.  ``taxonomy``: code, name, level, parent_code.
+    ``keywords``: keyword, code, level; any number.  Exact keyword (1.0), else a keyword containing or contained in the
+    label (0.85, the deepest level wins, then the lower code).  Codes below ``level_cap`` roll up to their parent at 0.9 of
+    the confidence.  ``taxonomy``: code, name, level, parent_code.
     """
     distinct = labels.select(label).distinct().withColumn("_t", matching_sector_name(F.col(label)))
-
-    def find(t: Column) -> Column:
-        exact = F.filter("_keywords", lambda k: k["keyword"] == t)
-        part = F.filter("_keywords", lambda k: (t != "") & (F.contains(t, k["keyword"]) | F.contains(k["keyword"], t)))
-
-        def deepest(hits: Column) -> Column:
-            return F.array_min(F.transform(hits, lambda k: F.struct((-k["level"]).alias("l"), k["code"].alias("code"))))["code"]
-
-        return (
-            F.when(F.size(exact) > 0, F.struct(deepest(exact).alias("code"), F.lit("exact_keyword").alias("method"), F.lit(1.0).alias("confidence")))
-            .when(F.size(part) > 0, F.struct(deepest(part).alias("code"), F.lit("partial_keyword").alias("method"), F.lit(0.85).alias("confidence")))
-        )
-
-    hit = distinct.withColumn("_keywords", keywords).withColumn("_m", bind(F.col("_t"), find)).select(label, "_m.*")
+    cleaned = distinct.filter("_t <> ''").select("_t").distinct()
+    listed = keywords.select("keyword").distinct()
+    either = contained(cleaned, ["_t"], "_t", listed, "keyword").union(
+        contained(listed, ["keyword"], "keyword", cleaned, "_t").select("_t", "keyword")
+    ).distinct()
+    order = F.struct((F.col("keyword") != F.col("_t")).alias("part"), (-F.col("level")).alias("l"), "code")
+    best = either.join(keywords, "keyword").groupBy("_t").agg(F.min(order).alias("_b"))
+    partial = F.col("_b.part")
+    hit = distinct.join(best, "_t", "left").select(
+        label, F.col("_b.code").alias("code"), F.when(partial, "partial_keyword").when(~partial, "exact_keyword").alias("method"),
+        F.when(partial, 0.85).when(~partial, 1.0).alias("confidence"),
+    )
     own = taxonomy.select("code", F.col("level").alias("_level"), F.col("parent_code").alias("_parent"))
     up = hit.join(own, "code", "left")
     rolled = (F.col("_level") > level_cap) & F.col("_parent").isNotNull()

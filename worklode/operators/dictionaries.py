@@ -1,38 +1,26 @@
-"""Word lists as array columns, so that matching text against them stays a native expression."""
+"""Word lists of any size as tables, and texts matched against them by indexes over their words and q-grams."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-LARGEST = 5000
+from worklode.session import write_table
 
+FEW = 64  # a list of so many terms needs no index
+GRAM = 3  # length of the q-grams that terms are looked up by; shorter terms are their own gram
 
-def literal_dictionary(rows: list[dict], fields: list[str]) -> Column:
-    """A configured word list as ``array<struct>``, with its order in ``ord``."""
-    if len(rows) > LARGEST:
-        raise ValueError(f"word list of {len(rows)} entries: use match_words for more than {LARGEST}")
-    return F.array(*[F.struct(*[F.lit(r[f]).alias(f) for f in fields], F.lit(i).alias("ord")) for i, r in enumerate(rows)])
 
+def literal_dictionary(rows: list[dict], fields: list[str]) -> DataFrame:
+    """A configured word list with its order in ``ord``; its column types follow from the values."""
+    spark = SparkSession.active()
+    listed = [F.struct(*[F.lit(r[f]).alias(f) for f in fields], F.struct(F.lit(i).alias("at")).alias("ord")) for i, r in enumerate(rows)]
+    return spark.range(1).select(F.inline(F.array(*listed)))
 
-def table_dictionary(df: DataFrame, fields: list[str], order: list[str]) -> Column:
-    """The same from a table, as a scalar subquery.  The table's size is checked while it is read: more
-    than ``LARGEST`` rows stop the job (``match_words`` has no such bound)."""
-    few = df.select(*fields, *[F.col(c).alias(f"_o{i}") for i, c in enumerate(order)]).limit(LARGEST + 1)
-    entry = F.struct(*[F.col(f"_o{i}") for i in range(len(order))], *[F.col(f) for f in fields])
-    listed = few.agg(F.sort_array(F.collect_list(entry)).alias("d"))
-    numbered = F.transform("d", lambda e, i: F.struct(*[e[f].alias(f) for f in fields], i.alias("ord")))
-    too_many = F.raise_error(F.lit(f"dictionary table has more than {LARGEST} rows"))
-    checked = F.when(F.size("d") <= LARGEST, numbered).otherwise(too_many.cast(listed.select(numbered).schema[0].dataType))
-    return listed.select(checked).scalar()
 
-
-def bounded_set(df: DataFrame, column: str) -> Column:
-    """The distinct values of an enum-like column as an array; more than ``LARGEST`` stop the job."""
-    few = df.select(F.col(column).alias("v")).dropna().distinct().limit(LARGEST + 1)
-    listed = few.agg(F.collect_list("v").alias("s"))
-    too_many = F.raise_error(F.lit(f"{column} has more than {LARGEST} values")).cast(listed.schema["s"].dataType)
-    return listed.select(F.when(F.size("s") <= LARGEST, F.col("s")).otherwise(too_many)).scalar()
+def table_dictionary(df: DataFrame, fields: list[str], order: list[str]) -> DataFrame:
+    """The same from a table of any size; ``ord`` holds the columns it is ordered by and is only compared, never counted."""
+    return df.select(*fields, F.struct(*order).alias("ord"))
 
 
 def bind(value: Column, use) -> Column:
@@ -40,6 +28,55 @@ def bind(value: Column, use) -> Column:
     return F.transform(F.array(value), use)[0]
 
 
+def grams(text: str, size: Column) -> Column:
+    """The substrings of ``size`` characters, each once; none of a shorter text."""
+    starts = F.when(F.length(text) >= size, F.sequence(F.lit(1), F.length(text) - size + 1))
+    return F.array_distinct(F.transform(starts, lambda i: F.substring(F.col(text), i, size)))
+
+
+def contained(texts: DataFrame, keys: list[str], text: str, terms: DataFrame, term: str) -> DataFrame:
+    """(keys, term) for every distinct term that occurs anywhere in a text, as plain text; any number of terms and texts.
+
+    Texts are cut at spaces, and so are terms.  The longest part of a term has to lie inside a word of the text (at its end
+    or start, if other parts come before or behind), so only distinct words are searched.  Parts stand in an inverted index
+    below the one of their q-grams that the fewest parts have, and a word is compared with the parts below its own q-grams.
+    A term of several parts is then compared with the texts that have its word.  Nothing is missed, and no text meets all
+    terms; only a list of FEW or fewer is looked for in every text as it is.  ``keys`` are unique in ``texts``; terms
+    without any character but spaces are left out.
+    """
+    listed = terms.select(F.col(term).alias("_term")).filter(F.trim("_term") != "").distinct()
+    lines = texts.select(*keys, F.col(text).alias("_text"))
+    few = [r["_term"] for r in listed.limit(FEW + 1).collect()]
+    if len(few) <= FEW:
+        there = F.filter(F.array(*map(F.lit, few)).cast("array<string>"), lambda t: F.contains("_text", t))
+        return lines.select(*keys, F.explode(there).alias(term))
+    parts = F.transform(F.split("_term", " "), lambda p, i: F.struct(F.length(p).alias("n"), (-i).alias("neg"), p.alias("part")))
+    anchor = listed.withColumn("_longest", F.array_max(parts)).withColumn("_parts", F.size(F.split("_term", " ")))
+    anchor = anchor.select(
+        "_term", F.col("_longest.part").alias("_part"), (F.col("_parts") > 1).alias("_several"),
+        (F.col("_longest.neg") < 0).alias("_at_start"), (F.col("_parts") - 1 > -F.col("_longest.neg")).alias("_at_end"),
+    )
+
+    words = lines.select(*keys, F.explode(F.array_distinct(F.split("_text", " "))).alias("_word")).filter("_word <> ''")
+    looked = anchor.select("_part").distinct().withColumn("_size", F.least(F.length("_part"), F.lit(GRAM)))
+    sizes = looked.agg(F.collect_set("_size")).scalar()  # three numbers at most
+    looked = looked.select("_part", F.explode(grams("_part", F.col("_size"))).alias("_gram"))
+    often = looked.groupBy("_gram").count()
+    index = looked.join(often, "_gram").groupBy("_part").agg(F.min(F.struct("count", "_gram"))["_gram"].alias("_gram"))
+    vocabulary = words.select("_word").distinct().select("_word", F.explode(sizes).alias("_size"))
+    near = vocabulary.select("_word", F.explode(grams("_word", F.col("_size"))).alias("_gram")).join(index, "_gram")
+    near = near.filter(F.contains("_word", F.col("_part"))).select("_word", "_part")
+    fits = (~F.col("_at_start") | F.startswith("_word", F.col("_part"))) & (~F.col("_at_end") | F.endswith("_word", F.col("_part")))
+    # Written once: both kinds of terms are read from it, and it is small beside the texts.
+    found = write_table(near.join(anchor, "_part").filter(fits).select("_word", "_term", "_several"))
+    hits = words.join(found.filter("not _several"), "_word").select(*keys, F.col("_term").alias(term)).distinct()
+    if found.filter("_several").isEmpty():
+        return hits
+    some = words.join(found.filter("_several"), "_word").select(*keys, "_term").distinct()
+    whole = some.join(lines, keys).filter(F.contains("_text", F.col("_term")))
+    return hits.unionByName(whole.select(*keys, F.col("_term").alias(term)))
+
+
 def match_words(texts: DataFrame, key: str, text: str, terms: DataFrame, term: str) -> DataFrame:
     """(key, term columns) for every term that occurs in a text as whole words: any number of terms of any length.
 

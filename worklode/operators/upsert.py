@@ -7,7 +7,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from worklode.operators.dictionaries import bounded_set
 from worklode.operators.ranking import best_per_key
 
 
@@ -65,40 +64,51 @@ def delete_where(df: DataFrame, condition: Column) -> DataFrame:
     return df.filter(~F.coalesce(condition, F.lit(False)))
 
 
-def classify_changes(staged: DataFrame, current: DataFrame, key: str, source: str, as_of: str, stale_days: int) -> DataFrame:
-    """One full outer join classifying every key as INSERT, UPDATE, DELETE, UNCHANGED or KEEP.
+def compared(staged: DataFrame, current: DataFrame, key: str, source: str, as_of: str, stale_days: int) -> DataFrame:
+    """One full outer join of a load with the state before it: the key, ``change_type``, and both rows as ``old`` and ``new``.
 
-    DELETE needs the key to be absent from the staged rows, active, last seen more than ``stale_days``
-    before ``as_of``, and its source to be among the staged sources (an unread source deletes nothing).
+    The type is INSERT, UPDATE, DELETE, UNCHANGED or KEEP.  DELETE needs the key to be absent from the staged rows, active,
+    last seen more than ``stale_days`` before ``as_of``, and its source to be among the staged sources (an unread source
+    deletes nothing), however many these are.  Classes, next state and log are read from this one result.
     """
-    read = bounded_set(staged, source)  # feeds are few; the list is checked to be
-    s = staged.select(F.col(key).alias("_sk"), F.col(source).alias("_ss"), F.col("record_hash").alias("_sh"))
-    c = current.select(
-        F.col(key).alias("_ck"), F.col(source).alias("_cs"), F.col("record_hash").alias("_ch"), "is_active", "last_seen"
-    )
-    joined = s.join(c, F.col("_sk") == F.col("_ck"), "full")
-    stale = F.datediff(F.lit(as_of).cast("date"), F.col("last_seen")) > stale_days
+    read = staged.filter(F.col(source).isNotNull()).select(F.col(source).alias("_read")).distinct()
+    s = staged.select(*[F.col(c).alias(f"_s_{c}") for c in staged.columns])
+    marked = current.join(read, F.col(source) == F.col("_read"), "left")
+    c = marked.select("_read", *[F.col(c).alias(f"_c_{c}") for c in current.columns])
+    sk, ck = F.col(f"_s_{key}"), F.col(f"_c_{key}")
+    stale = F.datediff(F.lit(as_of).cast("date"), F.col("_c_last_seen")) > stale_days
     kind = (
-        F.when(F.col("_ck").isNull(), "INSERT")
-        .when(F.col("_sk").isNotNull() & ~F.col("_sh").eqNullSafe(F.col("_ch")), "UPDATE")
-        .when(F.col("_sk").isNotNull(), "UNCHANGED")
-        .when(F.col("is_active") & stale & F.array_contains(read, F.col("_cs")), "DELETE")
+        F.when(ck.isNull(), "INSERT")
+        .when(sk.isNotNull() & ~F.col("_s_record_hash").eqNullSafe(F.col("_c_record_hash")), "UPDATE")
+        .when(sk.isNotNull(), "UNCHANGED")
+        .when(F.col("_c_is_active") & stale & F.col("_read").isNotNull(), "DELETE")
         .otherwise("KEEP")
     )
-    return joined.select(
-        F.coalesce("_sk", "_ck").alias(key), F.coalesce("_ss", "_cs").alias(source), kind.alias("change_type"),
-        F.col("_ch").alias("old_hash"), F.col("_sh").alias("new_hash"),
+
+    def whole(side: str, df: DataFrame, there: Column, name: str) -> Column:
+        return F.when(there.isNotNull(), F.struct(*[F.col(f"{side}{c}").alias(c) for c in df.columns])).alias(name)
+
+    joined = s.join(c, sk == ck, "full")
+    return joined.select(F.coalesce(sk, ck).alias(key), kind.alias("change_type"), whole("_c_", current, ck, "old"), whole("_s_", staged, sk, "new"))
+
+
+def classify_changes(staged: DataFrame, current: DataFrame, key: str, source: str, as_of: str, stale_days: int) -> DataFrame:
+    """The class of every key, with its source and both hashes (see ``compared``)."""
+    both = compared(staged, current, key, source, as_of, stale_days)
+    return both.select(
+        key, F.coalesce(f"new.{source}", f"old.{source}").alias(source), "change_type",
+        F.col("old.record_hash").alias("old_hash"), F.col("new.record_hash").alias("new_hash"),
     )
 
 
-def apply_changes(current: DataFrame, staged: DataFrame, changes: DataFrame, key: str) -> DataFrame:
-    """Current state after a load: inserted and updated rows from the staged set, deletes deactivated."""
-    gone = changes.filter(F.col("change_type") == "DELETE").select(key)
-    fresh = staged.join(changes.filter(F.col("change_type").isin("INSERT", "UPDATE")).select(key), key, "left_semi")
-    kept = current.join(fresh.select(key), key, "left_anti")
-    flagged = kept.join(gone.withColumn("_gone", F.lit(True)), key, "left")
-    flagged = flagged.withColumn("is_active", F.when(F.col("_gone"), F.lit(False)).otherwise(F.col("is_active")))
-    return flagged.drop("_gone").unionByName(fresh.select(*current.columns))
+def apply_changes(both: DataFrame) -> DataFrame:
+    """Current state after a load, from ``compared``: inserted and updated rows as staged, deletes deactivated, the others as
+    they were."""
+    columns = both.select("old.*").columns
+    taken = F.col("change_type").isin("INSERT", "UPDATE")
+    state = {c: F.when(taken, F.col(f"new.{c}")).otherwise(F.col(f"old.{c}")) for c in columns}
+    state["is_active"] = F.when(F.col("change_type") == "DELETE", F.lit(False)).otherwise(state["is_active"])
+    return both.select(*[value.alias(c) for c, value in state.items()])
 
 
 def latest_change(changes: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
@@ -106,10 +116,14 @@ def latest_change(changes: DataFrame, keys: list[str], order: list[Column]) -> D
     return best_per_key(changes, keys, order)
 
 
+#: How rows are written to a log and read back without loss.
+LOG_FORMAT = {"ignoreNullFields": "false", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS", "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
+
+
 def change_log(staged: DataFrame, current: DataFrame, key: str, columns: list[str]) -> DataFrame:
-    """INSERT / UPDATE / DELETE rows with the changed columns and both sides as JSON."""
-    old = current.select(F.col(key).alias("_ok"), F.struct(*columns).alias("_old"))
-    new = staged.select(F.col(key).alias("_nk"), F.struct(*columns).alias("_new"))
+    """INSERT / UPDATE / DELETE rows: which of ``columns`` changed, and both whole rows as JSON."""
+    old = current.select(F.col(key).alias("_ok"), F.struct(*current.columns).alias("_old"))
+    new = staged.select(F.col(key).alias("_nk"), F.struct(*staged.columns).alias("_new"))
     joined = new.join(old, F.col("_nk") == F.col("_ok"), "full")
     changed = F.filter(
         F.array(*[F.when(~F.col(f"_old.{c}").eqNullSafe(F.col(f"_new.{c}")), F.lit(c)) for c in columns]),
@@ -122,22 +136,19 @@ def change_log(staged: DataFrame, current: DataFrame, key: str, columns: list[st
         .filter(~both | (F.size("changed_columns") > 0))
         .select(
             F.coalesce("_nk", "_ok").alias(key), kind.alias("change_type"), "changed_columns",
-            F.to_json("_old", {"ignoreNullFields": "false"}).alias("old_value_json"),
-            F.to_json("_new", {"ignoreNullFields": "false"}).alias("new_value_json"),
+            F.to_json("_old", LOG_FORMAT).alias("old_value_json"), F.to_json("_new", LOG_FORMAT).alias("new_value_json"),
         )
     )
 
 
-def undo_batch(current: DataFrame, log: DataFrame, key: str, columns: list[str]) -> DataFrame:
-    """Take a batch back: inserted keys go, updated and deleted keys get the logged old values."""
-    schema = current.select(*columns).schema
-    inserted = log.filter(F.col("change_type") == "INSERT").select(key)
-    restored = log.filter(F.col("change_type") != "INSERT").select(
-        key, F.from_json("old_value_json", schema).alias("_old")
-    ).select(key, "_old.*")
-    remaining = current.join(inserted, key, "left_anti")
-    return upsert(remaining, remaining.select(key, *[c for c in current.columns if c not in (key, *columns)])
-                  .join(restored, key, "right").select(*current.columns), [key])
+def undo_batch(current: DataFrame, log: DataFrame, key: str) -> DataFrame:
+    """Take a batch back by one join with its log: inserted keys go, updated and deleted keys get their whole old rows.
+
+    A key that was deleted and is there again by now gets its old row too; rows the log does not name stay.
+    """
+    old = log.select(F.col(key).alias("_lk"), "change_type", F.from_json("old_value_json", current.schema, LOG_FORMAT).alias("_old"))
+    joined = current.join(old, F.col(key) == F.col("_lk"), "full").filter("change_type is null or change_type <> 'INSERT'")
+    return joined.select(*[F.when(F.col("_lk").isNotNull(), F.col(f"_old.{c}")).otherwise(F.col(c)).alias(c) for c in current.columns])
 
 
 def soft_delete(

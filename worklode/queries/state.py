@@ -47,7 +47,7 @@ def _(t):
     select c.job_id, status, case when ch.change_type = 'DELETE' then false else is_active end, record_hash
     from {{current_jobs}} c join ch on ch.job_id = c.job_id where ch.change_type not in ('INSERT', 'UPDATE')""")
 def _(t):
-    state = upsert.apply_changes(t.current_jobs, t.staged_jobs, changes(t), "job_id")
+    state = upsert.apply_changes(upsert.compared(t.staged_jobs, t.current_jobs, "job_id", "source_name", AS_OF, 400))
     return state.select("job_id", "status", "is_active", "record_hash")
 
 
@@ -109,12 +109,11 @@ def _(t):
                       F.get_json_object("new_value_json", "$.status").alias("new_status"))
 
 
-@query("undo_batch", "M-13", "select job_id, company_id, status, source_name from {current_jobs}")
+@query("undo_batch", "M-13", f"select * replace ({"strftime(last_seen, '%Y-%m-%d %H:%M:%S')"} as last_seen) from {{current_jobs}}")
 def _(t):
-    columns = ["job_id", *LOGGED]
-    before, staged = t.current_jobs.select(*columns), t.staged_jobs.select(*columns)
-    log = upsert.change_log(staged, before, "job_id", LOGGED)
-    return upsert.undo_batch(staged, log, "job_id", LOGGED)
+    log = upsert.change_log(t.staged_jobs, t.current_jobs, "job_id", [c for c in t.current_jobs.columns if c != "job_id"])
+    state = upsert.undo_batch(t.staged_jobs, log, "job_id")
+    return state.withColumn("last_seen", secs("last_seen"))
 
 
 FLAGS = "job_id, is_active, false as soft_delete_flag, cast(null as string) as soft_delete_reason"

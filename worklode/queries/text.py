@@ -146,7 +146,7 @@ def score_sql(entry) -> str:
     from {{text_jobs}} j left join r a on a.job_id = j.job_id and a.rn = 1 left join r b on b.job_id = j.job_id and b.rn = 2""")
 def _(t):
     words = literal_dictionary(SECTOR_LISTS, ["sector_id", "words"])
-    found = classify.score_sectors(t.text_jobs, "title", "description", words, threshold=2)
+    found = classify.score_sectors(t.text_jobs, "job_id", "title", "description", words, threshold=2)
     return found.select("job_id", "sector_id", "sector_score", "second_sector_id")
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -48,3 +49,13 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(folder)
     return df.checkpoint(eager=True)
+
+
+def write_table(df: DataFrame) -> DataFrame:
+    """Write ``df`` as a table of its own in the shared folder and go on from there.
+
+    Unlike a checkpoint it is computed once, has a size that the optimizer knows, and may be used several times in a plan.
+    """
+    path = f"{shared_dir(df.sparkSession)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

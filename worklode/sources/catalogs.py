@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from worklode.functions.text import matching_sector_name
@@ -46,7 +46,7 @@ def load_catalogs(spark: SparkSession, configs: list[dict]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), [one(c) for c in configs])
 
 
-def role_dictionary(roles: DataFrame) -> Column:
+def role_dictionary(roles: DataFrame) -> DataFrame:
     """Alias list for ``classify.match_roles`` from the role taxonomy: the canonical title counts 1.0, an
     alias 0.9; an alias listed for several roles belongs to the first role key."""
     words = exploded_words(roles, "aliases", "alias")
@@ -57,14 +57,14 @@ def role_dictionary(roles: DataFrame) -> Column:
     return table_dictionary(first.select("alias", "r.*"), ["alias", "role", "boost"], ["key", "alias"])
 
 
-def skill_dictionary(skills: DataFrame) -> Column:
+def skill_dictionary(skills: DataFrame) -> DataFrame:
     """Keyword list for ``classify.extract_skills`` from the skill taxonomy, in the file's word order."""
     words = F.filter(F.transform(F.split(F.lower("aliases"), r"\|"), lambda w: F.trim(w)), lambda w: w != "")
     rows = skills.select(F.col("canonical_skill").alias("skill"), words.alias("words"), F.col("sector_key").alias("sector"), "skill_key")
     return table_dictionary(rows, ["skill", "words", "sector"], ["skill_key"])
 
 
-def sector_dictionary(sectors: DataFrame) -> Column:
+def sector_dictionary(sectors: DataFrame) -> DataFrame:
     """Keyword list for ``classify.normalize_sectors`` from the sector taxonomy (top level 1, below it 2)."""
     words = exploded_words(sectors, "keywords", "keyword").withColumn("keyword", matching_sector_name(F.col("keyword")))
     level = F.when(F.coalesce("parent_sector", F.lit("")) == "", 1).otherwise(2)
