@@ -213,3 +213,13 @@ def test_pages_query(spark):
         article = re.search(r"<article>(.*?)</article>", pages[r.page_id], re.S)[1]
         parts = [" ".join(html.unescape(re.sub("<[^>]*>", "", b)).split()) for b in re.split("</?(?:p|h1|br)>", article)]
         assert r.text == " ".join(p for p in parts if p) and r.n_chars == len(r.text)
+
+
+def test_deep_pages_and_pages_without_a_host(spark):
+    """Nesting of any depth; pages without a URL are not taken for pages of one host."""
+    deep = "<div>" * 3000 + "<p>Far inside.</p>" + "</div>" * 3000
+    same = "<html><body><main><p>By the desk</p><p>Story {}</p></main></body></html>"
+    rows = [(1, "http://a.example/1", deep), (2, "http://a.example/2", deep)] + [(10 + i, [None, "", "no url"][i % 3], same.format(i)) for i in range(6)]
+    got = {r.page_id: r.text for r in wrappers.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got[1] == got[2] == "Far inside."
+    assert [got[10 + i] for i in range(6)] == [f"By the desk Story {i}" for i in range(6)]

@@ -50,6 +50,25 @@ def test_fuzzy_join_finds_every_pair(spark, ratio):
     assert got == want and want
 
 
+def test_a_word_in_most_names_does_not_pair_them_all(spark):
+    """Nine in ten names share a long word: candidates stay few, and every pair is found."""
+    rng = random.Random(8)
+
+    def made():
+        own = "".join(rng.choice(string.ascii_lowercase) for _ in range(10))
+        return own if rng.random() < 0.1 else f"{own} holding company"
+
+    canon = sorted({made() for _ in range(400)})
+    names = sorted({mutate(rng, rng.choice(canon)) for _ in range(400)} - {""})
+    a = spark.createDataFrame([(n,) for n in names], "n string")
+    c = spark.createDataFrame([(n,) for n in canon], "c string")
+    got = {(r.n, r.matched_name) for r in matching.fuzzy_pairs(a, "n", c, "c").collect()}
+    want = {(n, m) for n in names for m in canon if abs(len(n) - len(m)) <= 5 and 1 - distance(n, m) / max(len(n), len(m)) >= 0.85 - 1e-9}
+    assert got == want and want
+    candidates = matching.fuzzy_candidates(a, "n", c, "c").select("_a", "_c").distinct().count()
+    assert candidates < len(names) * len(canon) / 10
+
+
 def test_dense_keys_are_dense_and_stable(spark):
     names = [f"n{i:05d}" for i in range(5000)]
     random.Random(1).shuffle(names)

@@ -178,34 +178,42 @@ def align(tree: str, wrapper: str) -> list[int]:
     _, b_labels, b_children = read_tree(wrapper)
     memo: dict[tuple[int, int], tuple[int, list[tuple[int, int]]]] = {}
 
-    def match(a: int, b: int) -> tuple[int, list[tuple[int, int]]]:
-        """Nodes matched at and below a and b, and which children are matched."""
-        if a_labels[a] != b_labels[b]:
-            return 0, []
-        if (a, b) not in memo:
-            xs, ys = a_children[a], b_children[b]
-            best = [[0] * (len(ys) + 1) for _ in range(len(xs) + 1)]
-            for i, x in enumerate(xs):
-                for j, y in enumerate(ys):
-                    best[i + 1][j + 1] = max(best[i][j + 1], best[i + 1][j], best[i][j] + match(x, y)[0])
-            pairs, i, j = [], len(xs), len(ys)
-            while i and j:
-                if best[i][j] == best[i - 1][j]:
-                    i -= 1
-                elif best[i][j] == best[i][j - 1]:
-                    j -= 1
-                else:
-                    i, j = i - 1, j - 1
-                    pairs.append((xs[i], ys[j]))
-            memo[a, b] = (1 + best[-1][-1], pairs)
-        return memo[a, b]
+    def settle(a: int, b: int) -> None:
+        """Nodes matched at and below a and b, and which children are matched; those of their children are known."""
+        xs, ys = a_children[a], b_children[b]
+        best = [[0] * (len(ys) + 1) for _ in range(len(xs) + 1)]
+        for i, x in enumerate(xs):
+            for j, y in enumerate(ys):
+                best[i + 1][j + 1] = max(best[i][j + 1], best[i + 1][j], best[i][j] + (memo[x, y][0] if (x, y) in memo else 0))
+        pairs, i, j = [], len(xs), len(ys)
+        while i and j:
+            if best[i][j] == best[i - 1][j]:
+                i -= 1
+            elif best[i][j] == best[i][j - 1]:
+                j -= 1
+            else:
+                i, j = i - 1, j - 1
+                pairs.append((xs[i], ys[j]))
+        memo[a, b] = (1 + best[-1][-1], pairs)
+
+    # Pairs of nodes with one label, from the roots down, however deep; settled from the leaves up.
+    met = [(0, 0)] if a_labels[0] == b_labels[0] else []
+    seen = set(met)
+    for a, b in met:
+        for x in a_children[a]:
+            for y in b_children[b]:
+                if a_labels[x] == b_labels[y] and (x, y) not in seen:
+                    seen.add((x, y))
+                    met.append((x, y))
+    for a, b in reversed(met):
+        settle(a, b)
 
     out = [-1] * len(a_labels)
     todo = [(0, 0)]
     while todo:
         a, b = todo.pop()
         out[a] = b
-        todo += match(a, b)[1]
+        todo += memo[a, b][1] if (a, b) in memo else []
     return out
 
 
@@ -336,7 +344,9 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     order.  Null and empty pages, and pages of markup only, have empty text; text without markup is one block.  Hosts with
     one page have no template; their content is told by elements and names.  Ids may be null or repeat.
     """
-    pages = pages.select(F.col(id_col).alias("_id"), F.col(url_col).alias("_url"), host_of(F.col(url_col)).alias("_host"), F.col(html_col).alias("_html"))
+    # A page without a host has no pages to be aligned with but its own copies.
+    host = F.when(F.coalesce(host_of(F.col(url_col)), F.lit("")) == "", F.concat(F.lit(" "), F.md5(F.coalesce(F.col(html_col), F.lit(""))))).otherwise(host_of(F.col(url_col)))
+    pages = pages.select(F.col(id_col).alias("_id"), F.col(url_col).alias("_url"), host.alias("_host"), F.col(html_col).alias("_html"))
     wrappers = induce(pages, "_html")
 
     def tree(columns):

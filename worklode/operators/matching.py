@@ -14,49 +14,54 @@ def allowed_edits(longest: Column, ratio: float) -> Column:
     return F.floor(longest * F.lit(round(1 - ratio, 9)) + F.lit(1e-9)).cast("int")
 
 
+def _pieces(df: DataFrame, name: str, size: int) -> DataFrame:
+    """(name, piece, place) for the pieces of ``size`` characters of a name with ``size - 1`` marks on both ends."""
+    marked = F.concat(F.lit("\u0002" * (size - 1)), F.col(name), F.lit("\u0003" * (size - 1)))
+    cut = F.transform(F.sequence(F.lit(1), F.length(name) + (size - 1)), lambda i: F.substring(marked, i, F.lit(size)))
+    return df.select(name, F.posexplode(cut).alias("_place", "_piece"))
+
+
+def fuzzy_candidates(names: DataFrame, name: str, canon: DataFrame, canon_name: str, ratio: float = 0.85) -> DataFrame:
+    """Pairs (name, canonical) that may have 1 - levenshtein / max length >= ratio, found by equi-joins over rare pieces.
+
+    An edit changes q (two) of a name's q-character pieces at most, and moves the others by at most one place.  So two names at
+    most t edits apart each have at most q * t pieces that are not kept in the other, and if the pieces of both are put in
+    one order, one kept piece is among the first q * t + 1 of both, no more than t places apart.  The order is by rarity over
+    all names: what most names share stands last, and is hardly ever among the first.  With t the most edits that a match of
+    any length allows, nothing is missed; the ratio must be two thirds or more, so that every name has enough pieces.  A pair
+    comes once for each such piece in common, and only if the lengths allow a match.
+    """
+    if ratio < 2 / 3:
+        raise ValueError("names are matched at a ratio of two thirds or more")
+    size = 2
+    a = names.select(F.col(name).alias("_a")).distinct().filter("_a <> ''")
+    c = canon.select(F.col(canon_name).alias("_c")).distinct().filter("_c <> ''")
+    of_a, of_c = _pieces(a, "_a", size), _pieces(c, "_c", size)
+    often = of_a.select("_piece").unionByName(of_c.select("_piece")).groupBy("_piece").count()
+
+    def first(pieces: DataFrame, side: str) -> DataFrame:
+        edits = F.floor(F.length(side) * F.lit(round((1 - ratio) / ratio, 9)) + F.lit(1e-6)).cast("int")
+        ranked = pieces.join(often, "_piece").groupBy(side).agg(F.sort_array(F.collect_list(F.struct("count", "_piece", "_place"))).alias("_p"))
+        return ranked.select(side, F.explode(F.slice("_p", F.lit(1), size * edits + 1)).alias("_p")).select(
+            side, F.col("_p._piece").alias("_piece"), F.col("_p._place").alias(f"{side}_at")
+        )
+
+    la, lc = F.length("_a"), F.length("_c")
+    edits = allowed_edits(F.greatest(la, lc), ratio)
+    near = (F.greatest(la, lc) - F.least(la, lc) <= edits) & (F.abs(F.col("_a_at") - F.col("_c_at")) <= edits)
+    return first(of_a, "_a").join(first(of_c, "_c"), "_piece").filter(near).select("_a", "_c")
+
+
 def fuzzy_pairs(names: DataFrame, name: str, canon: DataFrame, canon_name: str, ratio: float = 0.85) -> DataFrame:
-    """All (name, canonical) pairs with 1 - levenshtein / max length >= ratio, found by equi-joins.
+    """All (name, canonical) pairs with 1 - levenshtein / max length >= ratio, each once.
 
-    Lossless blocking by the pigeonhole rule: a canonical name of length n can differ from a match by at
-    most t = floor((1 - ratio) * n / ratio) edits, so of its t + 1 segments at least one occurs unchanged
-    in the match, shifted by no more than the edits left and right of it allow.  Both sides are reduced to
-    distinct names first.  The distance test is part of the join condition, so near misses never leave
-    the join; skewed segments are split by adaptive execution.
+    Both sides are reduced to distinct names first.  The distance test is done where candidates are joined, so near misses
+    never leave the join; skewed pieces are split by adaptive execution.
     """
-    c = canon.select(F.col(canon_name).alias("_c")).distinct().withColumn("_n", F.length("_c")).filter("_n > 0")
-    edits = F.floor(F.col("_n") * F.lit(round((1 - ratio) / ratio, 9)) + F.lit(1e-6)).cast("int")
-    c = c.withColumn("_m", edits + 1)
-    # Segment i (0-based) of m covers [i * n / m, (i + 1) * n / m).
-    segment = F.transform(
-        F.sequence(F.lit(0), F.col("_m") - 1),
-        lambda i: F.struct(
-            i.alias("i"),
-            F.substring(F.col("_c"), F.floor(i * F.col("_n") / F.col("_m")).cast("int") + 1,
-                        (F.floor((i + 1) * F.col("_n") / F.col("_m")) - F.floor(i * F.col("_n") / F.col("_m"))).cast("int")).alias("s"),
-        ),
-    )
-    blocks = c.select("_c", "_n", F.explode(segment).alias("_g")).select("_c", "_n", F.col("_g.i").alias("_i"), F.col("_g.s").alias("_s"))
-
-    s = names.select(F.col(name).alias("_a")).distinct().withColumn("_l", F.length("_a")).filter("_l > 0")
-    shortest = F.ceil(F.col("_l") * ratio - F.lit(1e-6)).cast("int")
-    longest = F.floor(F.col("_l") / ratio + F.lit(1e-6)).cast("int")
-    probe = s.select("_a", "_l", F.explode(F.sequence(F.greatest(shortest, F.lit(1)), longest)).alias("_n"))
-    probe = probe.withColumn("_m", edits + 1).select("*", F.explode(F.sequence(F.lit(0), F.col("_m") - 1)).alias("_i"))
-    start = F.floor(F.col("_i") * F.col("_n") / F.col("_m")).cast("int")
-    width = (F.floor((F.col("_i") + 1) * F.col("_n") / F.col("_m")) - start).cast("int")
-    drift, left, right = F.col("_l") - F.col("_n"), F.col("_i"), F.col("_m") - 1 - F.col("_i")
-    # With i edits at most before the segment or m - 1 - i after it, the shift is bounded from both ends.
-    low = F.greatest(start - left, start + drift - right, F.lit(0))
-    high = F.least(start + left, start + drift + right, F.col("_l") - width)
-    probe = probe.withColumns({"_low": low, "_high": high, "_w": width}).filter("_low <= _high")
-    probe = probe.select("_a", "_l", "_n", "_i", "_w", F.explode(F.sequence("_low", "_high")).alias("_p"))
-    probe = probe.select("_a", "_l", "_n", "_i", F.substring(F.col("_a"), F.col("_p") + 1, F.col("_w")).alias("_s")).distinct()
-
-    limit = allowed_edits(F.greatest(F.col("p._l"), F.col("b._n")), ratio)
+    limit = allowed_edits(F.greatest(F.length("_a"), F.length("_c")), ratio)
     # With a limit the distance stops early and is -1 beyond it.
-    near = F.call_function("levenshtein", F.col("p._a"), F.col("b._c"), limit)
-    same_block = (F.col("p._n") == F.col("b._n")) & (F.col("p._i") == F.col("b._i")) & (F.col("p._s") == F.col("b._s"))
-    pairs = probe.alias("p").join(blocks.alias("b"), same_block & (near >= 0)).select("_a", "_c").distinct()
+    near = F.call_function("levenshtein", F.col("_a"), F.col("_c"), limit) >= 0
+    pairs = fuzzy_candidates(names, name, canon, canon_name, ratio).filter(near).select("_a", "_c").distinct()
     score = 1 - F.levenshtein("_a", "_c").cast("double") / F.greatest(F.length("_a"), F.length("_c")).cast("double")
     return pairs.select(F.col("_a").alias(name), F.col("_c").alias("matched_name"), score.alias("similarity"))
 
