@@ -80,13 +80,12 @@ def test_dense_keys_are_dense_and_stable(spark):
     assert new["n00003"] == 70 and new["n00009"] == 5 and len(set(new.values())) == 5000 and new["n00000"] == 71
 
 
-@pytest.mark.parametrize("bound", [10, 10**9])
-def test_percentiles_match_numpy_on_a_hot_group(spark, bound):
+def test_percentiles_match_numpy_on_a_hot_group(spark):
     rng = np.random.default_rng(3)
     rows = [(None if i % 3 else "hot", float(v)) for i, v in enumerate(np.round(rng.exponential(1000, 3000), 1))] + [("one", 5.0)]
     df = spark.createDataFrame(rows, "k string, v double")
     probs = {"p0": 0.0, "p25": 0.25, "p50": 0.5, "p90": 0.9, "p100": 1.0}
-    got = {r.k: r for r in quantiles.exact_percentiles(df, ["k"], "v", probs, "n", split_above=bound).collect()}
+    got = {r.k: r for r in quantiles.exact_percentiles(df, ["k"], "v", probs, "n").collect()}
     for key in (None, "hot", "one"):
         values = [v for k, v in rows if k == key]
         assert got[key].n == len(values)
@@ -94,6 +93,51 @@ def test_percentiles_match_numpy_on_a_hot_group(spark, bound):
             assert got[key][name] == pytest.approx(np.percentile(values, p * 100), abs=1e-9)
 
 
+def test_weighted_percentiles_of_groups_across_ranges(spark, monkeypatch):
+    """Weights stand for repeated rows, a group lies in many ranges, and its ranks go on from range to range."""
+    rng = random.Random(4)
+    rows = [(rng.choice("aaab"), rng.randint(0, 400) if rng.random() < 0.9 else None, rng.randint(1, 5)) for _ in range(3000)]
+    written = []
+    plain = quantiles.write_table
+    monkeypatch.setattr(quantiles, "write_table", lambda df: written.append(plain(df)) or written[-1])
+    df = spark.createDataFrame(rows, "k string, v int, w int")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = {r.k: r for r in quantiles.exact_percentiles(df, ["k"], "v", {"p10": 0.1, "p50": 0.5}, "n", weight="w").collect()}
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert written[0].filter("k = 'a'").select("_range").distinct().count() > 2
+    for key in "ab":
+        values = [v for k, v, w in rows if k == key and v is not None for _ in range(w)]
+        assert got[key].n == len(values)
+        for name, p in (("p10", 10), ("p50", 50)):
+            assert got[key][name] == pytest.approx(np.percentile(values, p), abs=1e-9)
+    assert quantiles.exact_percentiles(df.filter("v < 0"), ["k"], "v", {"p50": 0.5}, "n").collect() == []
+
+
+def test_marts_copy_no_fact(spark):
+    """Percentiles by level and distinct counts work on folded rows: no Expand, no Generate, one shuffle per fold."""
+    from worklode.plans import marts
+    from worklode.plans.feed import AS_OF, LOOKBACK_DAYS, Tables
+
+    t = Tables(spark, "/root/testdata/sf0.001")
+    seen = []
+    plain = quantiles.write_table
+    quantiles.write_table = lambda df: seen.append(df) or plain(df)
+    try:
+        marts.salary_trends(t.salaries, AS_OF, LOOKBACK_DAYS)
+        overview = marts.sector_overview(t.postings, t.job_skills, t.salaries, AS_OF, LOOKBACK_DAYS)
+        overview.collect()
+    finally:
+        quantiles.write_table = plain
+    seen[0].collect()
+    for df, reused in ((seen[0], 4), (overview, 2)):
+        plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+        assert plan.count("ReusedExchange") >= reused
+        if df is seen[0]:
+            assert "Expand" not in plan and "Generate" not in plan
+
+
 def test_bucketed_lag_lead_and_fill_equal_plain_windows(spark):
     rng = random.Random(5)
     rows = [(1 if rng.random() < 0.7 else rng.randint(2, 9), i, rng.choice([None, rng.randint(0, 99)])) for i in range(2000)]

@@ -7,8 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-SPLIT_ABOVE = 1_000_000  # rows per group beyond which the group is cut into value ranges
-RANGES = 256
+from worklode.session import write_table
 
 
 def same_keys(left: str, right: str, keys: list[str]) -> Column:
@@ -17,92 +16,46 @@ def same_keys(left: str, right: str, keys: list[str]) -> Column:
 
 
 def exact_percentiles(
-    df: DataFrame,
-    keys: list[str],
-    value: str,
-    probabilities: dict[str, float],
-    count_col: str | None = None,
-    split_above: int = SPLIT_ABOVE,
+    df: DataFrame, keys: list[str], value: str, probabilities: dict[str, float], count_col: str | None = None, weight: str | None = None
 ) -> DataFrame:
-    """One row per key: linear-interpolated percentiles {column: probability}, and the row count.
+    """One row per key: linear-interpolated percentiles {column: probability}, and the row count.  A row counts ``weight`` times.
 
-    Groups of up to ``split_above`` rows are sorted as a whole (``_sorted_percentiles``).  Larger groups
-    are ranked over value ranges instead (``_ranked_percentiles``), so no task ever sorts a hot group.
-    Both give the same, exact result.
+    All groups are ranked at once.  Equal values are counted first, so a key and value is one row; these are dealt into
+    ranges by key and value, so that a group of any size lies in as many ranges as it needs, and small groups share one.
+    Rows are ranked inside their range.  Only the first and the last key of a range can go on in another one; for these,
+    two rows a range at most, counts per range give the rows before it and in all.  Null values are left out, and keys
+    without any other value have no row; null keys are keys.
     """
-    rows = df.filter(F.col(value).isNotNull()).select(*keys, F.col(value).alias("_v"))
-    hot = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > split_above).select(*keys)
-
-    def part(how: str) -> DataFrame:
-        return rows.alias("c").join(hot.alias("h"), same_keys("c", "h", keys), how)
-
-    found = _sorted_percentiles(part("left_anti"), keys, probabilities).unionByName(
-        _ranked_percentiles(part("left_semi"), keys, probabilities)
-    )
-    return found.select(*keys, *probabilities, *([F.col("_total").alias(count_col)] if count_col else []))
-
-
-def _interpolated(probabilities: dict[str, float], first: Column, last: Column) -> tuple[list[Column], list[Column]]:
-    """(aggregates picking the values at the two ranks around each probability, their interpolation)."""
+    times = F.sum(weight) if weight else F.count(F.lit(1))
+    counted = df.filter(F.col(value).isNotNull()).groupBy(*keys, F.col(value).alias("_v")).agg(times.alias("_n"))
+    ranged = counted.repartitionByRange(*[F.col(c).asc_nulls_first() for c in [*keys, "_v"]])
+    # Written once: range borders come from a sample, and must be the same for counting and for ranking.
+    ranged = write_table(ranged.withColumn("_range", F.spark_partition_id()))
+
+    ends = F.explode(F.array_distinct(F.array(F.min(F.struct(*keys)), F.max(F.struct(*keys))))).alias("_key")
+    ends = ranged.groupBy("_range").agg(ends).select("_range", "_key.*")
+    inside = Window.partitionBy(*keys, "_range")
+    placed = ranged.withColumns({"_upto": F.sum("_n").over(inside.orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)), "_in": F.sum("_n").over(inside)})
+
+    # Bounded by the number of ranges, whatever the number of rows and groups: two rows each.
+    cut = ranged.alias("r").join(F.broadcast(ends).alias("e"), same_keys("r", "e", [*keys, "_range"]))
+    cut = cut.groupBy(*[F.col(f"r.{k}").alias(k) for k in [*keys, "_range"]]).agg(F.sum("_n").alias("_in"))
+    group = Window.partitionBy(*keys)
+    ahead = group.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    cut = cut.select(*keys, "_range", F.sum("_in").over(ahead).alias("_before"), F.sum("_in").over(group).alias("_total"))
+    held = placed.alias("r").join(F.broadcast(cut).alias("s"), same_keys("r", "s", [*keys, "_range"]), "left")
+    last = (F.coalesce("_before", F.lit(0)) + F.col("_upto") - 1).alias("_last")
+    held = held.select(*[F.col(f"r.{k}").alias(k) for k in keys], "_v", "_n", last, F.coalesce("_total", "_in").alias("_total"))
+
+    def place(p: float) -> Column:
+        return F.lit(p) * (F.col("_total") - 1)
 
     def at(rank: Column) -> Column:
-        return F.max(F.when((first <= rank) & (rank <= last), F.col("_v")))
+        return F.max(F.when((F.col("_last") - F.col("_n") < rank) & (rank <= F.col("_last")), F.col("_v"))).cast("double")
 
     picks, outs = [F.max("_total").alias("_total")], []
     for name, p in probabilities.items():
-        place = F.lit(p) * (F.col("_total") - 1)
-        picks += [at(F.floor(place)).alias(f"_lo_{name}"), at(F.ceil(place)).alias(f"_hi_{name}")]
-        low, high = F.col(f"_lo_{name}").cast("double"), F.col(f"_hi_{name}").cast("double")
-        outs.append((low + (high - low) * (place - F.floor(place))).alias(name))
-    return picks, outs
-
-
-def _sorted_percentiles(rows: DataFrame, keys: list[str], probabilities: dict[str, float]) -> DataFrame:
-    """Percentiles of bounded groups: one shuffle and sort by key and value, then the wanted ranks."""
-    whole = Window.partitionBy(*keys)
-    ranked = rows.withColumn("_at", F.row_number().over(whole.orderBy("_v")) - 1).withColumn(
-        "_total", F.count(F.lit(1)).over(whole)
-    )
-    picks, outs = _interpolated(probabilities, F.col("_at"), F.col("_at"))
-    return ranked.groupBy(*keys).agg(*picks).select(*keys, *outs, "_total")
-
-
-def _ranked_percentiles(rows: DataFrame, keys: list[str], probabilities: dict[str, float]) -> DataFrame:
-    """Percentiles of large groups by rank.
-
-    Equal values are counted first.  Approximate quantiles cut each group into value ranges (only to
-    balance the work); a running count over the ranges turns ranks inside a range into ranks inside
-    the group, so the result is exact.
-    """
-    counted = rows.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_n"))
-    steps = [i / RANGES for i in range(1, RANGES)]
-    cuts = counted.groupBy(*keys).agg(F.percentile_approx("_v", steps, 10 * RANGES).alias("_cuts"))
-    ranged = (
-        counted.alias("c")
-        .join(cuts.alias("k"), same_keys("c", "k", keys))
-        .select(
-            *[F.col(f"c.{k}").alias(k) for k in keys], "_v", "_n",
-            F.size(F.filter("_cuts", lambda c: c < F.col("_v"))).alias("_range"),
-        )
-    )
-    # Ranges of a group, with the number of rows before each and in the whole group.
-    whole = Window.partitionBy(*keys)
-    ahead = whole.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    spans = ranged.groupBy(*keys, "_range").agg(F.sum("_n").alias("_in"))
-    spans = spans.withColumn("_before", F.coalesce(F.sum("_in").over(ahead), F.lit(0))).withColumn(
-        "_total", F.sum("_in").over(whole)
-    )
-    running = Window.partitionBy(*keys, "_range").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
-    placed = (
-        ranged.withColumn("_upto", F.sum("_n").over(running))
-        .alias("r")
-        .join(spans.alias("s"), same_keys("r", "s", [*keys, "_range"]))
-        .select(
-            *[F.col(f"r.{k}").alias(k) for k in keys], "_v", "_total",
-            (F.col("_before") + F.col("_upto") - F.col("_n")).alias("_first"),
-            (F.col("_before") + F.col("_upto") - 1).alias("_last"),
-        )
-    )
-
-    picks, outs = _interpolated(probabilities, F.col("_first"), F.col("_last"))
-    return placed.groupBy(*keys).agg(*picks).select(*keys, *outs, "_total")
+        picks += [at(F.floor(place(p))).alias(f"_lo_{name}"), at(F.ceil(place(p))).alias(f"_hi_{name}")]
+        low, high = F.col(f"_lo_{name}"), F.col(f"_hi_{name}")
+        outs.append((low + (high - low) * (place(p) - F.floor(place(p)))).alias(name))
+    return held.groupBy(*keys).agg(*picks).select(*keys, *outs, *([F.col("_total").alias(count_col)] if count_col else []))

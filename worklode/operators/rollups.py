@@ -31,16 +31,15 @@ def rollup_levels(
     return grouped.withColumn(level_col, name).drop("_gid")
 
 
-def explode_levels(df: DataFrame, levels: dict[str, list[str]], level_col: str = "rollup_level") -> DataFrame:
-    """One copy of each row per level with the other level columns nulled (for operators that are not
-    plain aggregates, such as exact percentiles)."""
+def stack_levels(df: DataFrame, levels: dict[str, list[str]], level_col: str = "rollup_level") -> DataFrame:
+    """The rows of every level below each other, with the columns that a level leaves out as null (for operators that are
+    not plain aggregates, such as exact percentiles).  ``df`` is best aggregated already: Spark shuffles for it once and
+    reads the result for each level, so no row of the facts is copied."""
     varying = list(dict.fromkeys(c for cols in levels.values() for c in cols))
-    types = dict(df.dtypes)
+    types, others = dict(df.dtypes), [c for c in df.columns if c not in varying]
 
-    def copy(name: str, cols: list[str]) -> Column:
-        kept = [(F.col(c) if c in cols else F.lit(None)).cast(types[c]).alias(c) for c in varying]
-        return F.struct(F.lit(name).alias(level_col), *kept)
+    def level(name: str, cols: list[str]) -> DataFrame:
+        kept = [F.col(c) if c in cols else F.lit(None).cast(types[c]).alias(c) for c in varying]
+        return df.select(*others, F.lit(name).alias(level_col), *kept)
 
-    copies = F.explode(F.array(*[copy(n, c) for n, c in levels.items()])).alias("_copy")
-    others = [c for c in df.columns if c not in varying]
-    return df.select(*others, copies).select(*others, "_copy.*")
+    return reduce(DataFrame.unionByName, [level(n, c) for n, c in levels.items()])

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -9,7 +11,7 @@ from worklode.functions.dates import key_days_before, key_to_date
 from worklode.operators.aggregates import count_where, distinct_where, guarded_ratio
 from worklode.operators.quantiles import exact_percentiles
 from worklode.operators.ranking import best_per_key, change_ratio, rolling_mean, top_n_with_ties
-from worklode.operators.rollups import explode_levels, rollup_levels
+from worklode.operators.rollups import rollup_levels, stack_levels
 
 ROLLUPS = {"sector": ["sector_sk"], "role": ["role_sk"], "location": ["location_sk"]}
 
@@ -135,12 +137,17 @@ def salary_trends(salaries: DataFrame, as_of: str, days: int, min_sample: int =
         (F.col("salary_period") == "ANNUAL") & (F.col("currency") == "USD")
         & (F.col("salary_min") > 0) & (F.col("salary_max") > 0)
     )
-    sides = F.explode(F.array(*[F.struct(F.lit(s).alias("_side"), F.col(f"salary_{s}").alias("_pay")) for s in ("min", "max")]))
-    long = usable.select(F.col("observation_date_sk").alias("salary_date_sk"), "sector_sk", "role_sk", "location_sk", sides.alias("_x"))
-    long = explode_levels(long.select("salary_date_sk", "sector_sk", "role_sk", "location_sk", "_x.*"), ROLLUPS)
+    cells = [F.col("observation_date_sk").alias("salary_date_sk"), "sector_sk", "role_sk", "location_sk"]
+
+    def paid(side: str) -> DataFrame:
+        counted = usable.groupBy(*cells, F.col(f"salary_{side}").alias("_pay")).agg(F.count(F.lit(1)).alias("_times"))
+        return counted.withColumn("_side", F.lit(side))
+
+    # Equal pay of a day, sector, role and place is one row before the levels are formed.
+    levels = stack_levels(paid("min").unionByName(paid("max")), ROLLUPS)
     keys = ["salary_date_sk", "rollup_level", "sector_sk", "role_sk", "location_sk"]
     found = exact_percentiles(
-        long, [*keys, "_side"], "_pay", {"p25": 0.25, "p50": 0.5, "p75": 0.75, "p90": 0.9}, count_col="_n"
+        levels, [*keys, "_side"], "_pay", {"p25": 0.25, "p50": 0.5, "p75": 0.75, "p90": 0.9}, count_col="_n", weight="_times"
     )
 
     def pick(side: str, p: str):
@@ -224,18 +231,20 @@ def sector_overview(
 ) -> DataFrame:
     """Per day and sector: posting counts, distinct companies, roles, locations and skills, median pay."""
     active, keys = F.col("active_flag"), ["sector_date_sk", "sector_sk"]
-    jobs = (
+    counts = {"active_jobs": active, "new_jobs": F.col("is_new_job"), "closed_jobs": F.col("is_soft_delete")}
+    facets = {"active_companies": "company_sk", "active_roles": "role_sk", "active_locations": "location_sk"}
+    # Postings are folded to cells once; what is distinct is counted over the cells, which Spark shuffles for all facets once.
+    cells = (
         since(postings, "posting_date_sk", as_of, days)
-        .groupBy(F.col("posting_date_sk").alias("sector_date_sk"), "sector_sk")
-        .agg(
-            count_where(active).alias("active_jobs"),
-            count_where(F.col("is_new_job")).alias("new_jobs"),
-            count_where(F.col("is_soft_delete")).alias("closed_jobs"),
-            distinct_where(active, "company_sk").alias("active_companies"),
-            distinct_where(active, "role_sk").alias("active_roles"),
-            distinct_where(active, "location_sk").alias("active_locations"),
-        )
+        .groupBy(F.col("posting_date_sk").alias("sector_date_sk"), "sector_sk", *facets.values())
+        .agg(*[count_where(c).alias(n) for n, c in counts.items()])
     )
+    rows = [cells.groupBy(*keys).agg(*[F.sum(n).alias(n) for n in counts])]
+    for name, attribute in facets.items():
+        members = cells.filter((F.col("active_jobs") > 0) & F.col(attribute).isNotNull()).select(*keys, attribute).distinct()
+        rows.append(members.groupBy(*keys).agg(F.count(F.lit(1)).alias(name)))
+    stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), rows)
+    jobs = stacked.groupBy(*keys).agg(*[F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in [*counts, *facets]])
     skills = (
         skill_facts(job_skills, postings, as_of, days)
         .filter(active)
@@ -256,6 +265,34 @@ def sector_overview(
     )
 
 
+def sector_summary(postings: DataFrame, job_skills: DataFrame, skills: DataFrame, salaries: DataFrame, top: int = 10, lag: int = 30) -> DataFrame:
+    """Per sector and day: active postings and their companies, growth against ``lag`` days with postings earlier, and, over all
+    days of the sector, mean pay and the ``top`` skills that its active postings mention most (ties by name).
+
+    Sectors without pay or skills have null and an empty list.  A posting is one row, so postings are counted, not made distinct.
+    """
+    active = postings.filter("active_flag")
+    # A row per company first: its companies are then counted without a copy of any posting.
+    hiring = active.groupBy("sector_sk", F.col("posting_date_sk").alias("overview_date_sk"), "company_sk").agg(F.count(F.lit(1)).alias("_n"))
+    daily = hiring.groupBy("sector_sk", "overview_date_sk").agg(
+        F.sum("_n").alias("total_jobs"), F.count("company_sk").alias("total_companies")
+    )
+    daily = growth_by_lag(daily, ["sector_sk"], "overview_date_sk", "total_jobs", lag).withColumnRenamed("growth_rate", "growth_rate_30d")
+    pay = salaries.groupBy("sector_sk").agg(guarded_ratio(F.sum("salary_max"), F.count("salary_max")).alias("avg_salary_usd"))
+
+    mentions = job_skills.join(active.select("job_sk", "sector_sk"), "job_sk").groupBy("sector_sk", "skill_sk").agg(F.count(F.lit(1)).alias("_n"))
+    by_name = mentions.join(skills.select("skill_sk", "skill_name"), "skill_sk").groupBy("sector_sk", "skill_name").agg(F.sum("_n").alias("_n"))
+    rank = F.row_number().over(Window.partitionBy("sector_sk").orderBy(F.desc("_n"), "skill_name"))
+    best = by_name.withColumn("_rank", rank).filter(F.col("_rank") <= top)
+    names = F.transform(F.array_sort(F.collect_list(F.struct("_rank", "skill_name"))), lambda s: s["skill_name"])
+    lists = best.groupBy("sector_sk").agg(names.alias("top_skills"))
+    found = daily.alias("d")
+    for side, name, default in ((pay, "avg_salary_usd", None), (lists, "top_skills", F.array().cast("array<string>"))):
+        joined = found.alias("d").join(side.alias("s"), F.col("d.sector_sk").eqNullSafe(F.col("s.sector_sk")), "left")
+        found = joined.select("d.*", F.col(name) if default is None else F.coalesce(name, default).alias(name))
+    return found
+
+
 def run_health(runs: DataFrame, as_of: str, days: int = 90) -> DataFrame:
     """Per day and job name: run counts, success share, throughput, change against the day before,
     rolling means and anomaly flags.  Both spellings of a failed run are counted."""

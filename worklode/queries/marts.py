@@ -271,6 +271,23 @@ def _(t):
     return marts.sector_overview(t.postings, t.job_skills, t.salaries, AS_OF, LOOKBACK_DAYS)
 
 
+@query("sector_summary", "G-09 A-07 W-12", """
+    with d as (select sector_sk, posting_date_sk as overview_date_sk, count(*) as total_jobs, count(distinct company_sk) as total_companies
+               from {postings} where active_flag group by 1, 2),
+    l as (select *, lag(total_jobs, 30) over (partition by sector_sk order by overview_date_sk) as p from d),
+    pay as (select sector_sk, cast(sum(salary_max) as double) / cast(count(salary_max) as double) as avg_salary_usd from {salaries} group by 1),
+    m as (select sector_sk, skill_name, count(*) as n from {postings} join {job_skills} using (job_sk) join {skills} using (skill_sk)
+          where active_flag group by 1, 2),
+    r as (select *, row_number() over (partition by sector_sk order by n desc, skill_name) as rn from m),
+    s as (select sector_sk, string_agg(skill_name, ', ' order by rn) as top_skills from r where rn <= 10 group by 1)
+    select l.sector_sk, overview_date_sk, total_jobs, total_companies, round(avg_salary_usd, 4) as avg_salary_usd,
+           coalesce(top_skills, '') as top_skills, case when p > 0 then cast(total_jobs - p as double) / cast(p as double) end as growth_rate_30d
+    from l left join pay on l.sector_sk is not distinct from pay.sector_sk left join s on l.sector_sk is not distinct from s.sector_sk""")
+def _(t):
+    found = marts.sector_summary(t.postings, t.job_skills, t.skills, t.salaries)
+    return found.withColumn("top_skills", F.array_join("top_skills", ", ")).withColumn("avg_salary_usd", F.round("avg_salary_usd", 4))
+
+
 @query("sector_growth_by_lag", "W-12 G-09", f"""
     with d as (select sector_sk, posting_date_sk, count(*) as job_count from {{postings}} where posting_date_sk >= {CUT}
                group by 1, 2),

@@ -336,8 +336,7 @@ def _(t):
     from worklode.operators.quantiles import exact_percentiles
 
     probs = {"p25": 0.25, "p50": 0.5, "p75": 0.75, "p90": 0.9}
-    # The small bound sends every group down the ranked path.
-    found = exact_percentiles(t.orders, ["o_orderpriority"], "o_totalprice", probs, "n", split_above=1000)
+    found = exact_percentiles(t.orders, ["o_orderpriority"], "o_totalprice", probs, "n")
     return found.select("o_orderpriority", "n", *[F.round(p, 4).alias(p) for p in probs])
 
 
