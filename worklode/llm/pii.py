@@ -7,13 +7,14 @@ import zlib
 from dataclasses import dataclass, field
 
 import numpy as np
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from worklode.llm.common import map_rows, written
 
 KINDS = ("email", "ip", "card", "phone")
-#: Distinct candidates of a kind, with their counts, that the classifier is fitted on at most (those with the lowest hashes).
+#: Distinct candidates of a kind, with their counts, that the classifier is fitted on: all if there are no more, else about so
+#: many, a share of their hashes.
 SAMPLE = 20_000
 #: Hashed features of a kind.
 FEATURES = 512
@@ -261,13 +262,16 @@ def fit(found: DataFrame, sample: int = SAMPLE) -> Detector:
     """Reliabilities from the votes on all candidates of :func:`candidates`, and a classifier per kind.
 
     Votes are counted by pattern, of which there are at most 3 ** LABELERS per kind.  The classifier sees each distinct
-    candidate once with its count, ``sample`` of them per kind at most, so that copies of a text take no more room.
+    candidate once with its count, so that copies of a text take no more room; of a kind with more than ``sample`` of them
+    it sees those whose hash is in the lowest ``sample / number`` of all hashes, which needs no order over a kind.
     """
     spans = found.select(F.explode("spans").alias("s")).select("s.kind", "s.votes", "s.features")
     counted = written(spans.groupBy("kind", "votes", "features").count())
     patterns = counted.groupBy("kind", "votes").agg(F.sum("count").alias("n")).orderBy("kind", "votes").collect()
-    order = Window.partitionBy("kind").orderBy(F.xxhash64("votes", "features"), "votes", "features")
-    kept = counted.withColumn("_rank", F.row_number().over(order)).filter(F.col("_rank") <= sample).drop("_rank").collect()
+    numbers = counted.groupBy("kind").agg(F.count("*").alias("n")).collect()
+    shares = F.create_map(*[F.lit(x) for r in numbers for x in (r["kind"], min(1.0, sample / r["n"]))])
+    luck = F.pmod(F.xxhash64("votes", "features"), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    kept = counted.filter(luck < shares[F.col("kind")]).collect() if numbers else []
     kept.sort(key=lambda r: (r["votes"], r["features"]))
     weights, chances = {}, {}
     for kind in sorted({r["kind"] for r in patterns}):
