@@ -403,22 +403,6 @@ def test_review_queue_close(spark):
     assert [r.review_id for r in review.pending(queue, "role", 0.4).collect()] == ["1"]
 
 
-def test_stream_time_in_state_repeats_safely(spark, tmp_path):
-    from worklode.sources.tables import TableStore
-    from worklode.streaming import streams
-
-    store = TableStore(spark, str(tmp_path / "tables"))
-    each = streams.time_in_state(store, "out", "k", ["t"], F.floor(F.col("t") / 5))
-    first = spark.createDataFrame([(1, 1), (1, 4), (2, 3)], "k int, t int")
-    second = spark.createDataFrame([(1, 2), (1, 9), (2, 7)], "k int, t int")
-    each(first, 0)
-    for _ in range(2):
-        each(second, 1)
-    got = sorted((r.k, r.t, r.previous_at) for r in store.read("out/b1").collect())
-    assert got == [(1, 9, 4), (2, 7, 3)]
-    assert [(r.k, r.t) for r in store.read("out_late/b1").collect()] == [(1, 2)]
-
-
 def test_dictionaries_from_taxonomy_files(spark, tmp_path):
     from worklode.sources import catalogs
 

@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 
 from worklode.queries.registry import query
 from worklode.session import shared_dir
-from worklode.sources.tables import TableStore
 from worklode.streaming import streams
 
 TS = "%Y-%m-%d %H:%M:%S"
@@ -47,10 +46,13 @@ def _(t):
     select user_id, event_id, event_type from (select *, row_number() over (partition by user_id order by ts desc, event_id desc) as rn from {events}) where rn = 1""")
 def _(t):
     root = place(t)
-    store = TableStore(t.spark, f"{root}/tables")
-    each = streams.keep_latest(store, "current", ["user_id"], ["ts", "event_id"])
-    arriving(t, root, lambda s: streams.run_to_function(s, each, f"{root}/checkpoint"))
-    return store.read("current").select("user_id", "event_id", "event_type")
+
+    def run(s):
+        latest = streams.latest_per_key(s.select("user_id", "ts", "event_id", "event_type"), ["user_id"], ["ts", "event_id"])
+        streams.run_to_changes(latest, f"{root}/out", f"{root}/checkpoint")
+
+    arriving(t, root, run)
+    return streams.newest_changes(t.spark, f"{root}/out", ["user_id"]).select("user_id", "event_id", "event_type")
 
 
 @query("stream_deduplicated", "ST-03 A-01", "select distinct user_id, event_type, props from {events}")
@@ -70,15 +72,14 @@ def _(t):
            event_type, count(*) as n from {{events}} group by date_trunc('day', ts), event_type""")
 def _(t):
     root = place(t)
-    store = TableStore(t.spark, f"{root}/tables")
-    each = streams.merge_counts(store, "counts", ["window_start", "window_end", "event_type"])
 
     def run(s):
         counted = streams.windowed_counts(s, "ts", "60 days", ["event_type"], "1 day")
-        streams.run_to_function(counted, each, f"{root}/checkpoint", "update")
+        streams.run_to_changes(counted, f"{root}/out", f"{root}/checkpoint")
 
     arriving(t, root, run)
-    return store.read("counts").select(*text_of("window_start", "window_end"), "event_type", "n")
+    counts = streams.newest_changes(t.spark, f"{root}/out", ["window_start", "window_end", "event_type"])
+    return counts.select(*text_of("window_start", "window_end"), "event_type", "n")
 
 
 @query("stream_weekly_counts", "ST-04 W-09 W-14", f"""
@@ -86,27 +87,27 @@ def _(t):
     select strftime(s, '{TS}') as window_start, strftime(s + interval 7 day, '{TS}') as window_end, event_type, count(*) as n from w group by s, event_type""")
 def _(t):
     root = place(t)
-    store = TableStore(t.spark, f"{root}/tables")
-    each = streams.merge_counts(store, "counts", ["window_start", "window_end", "event_type"])
 
     def run(s):
         counted = streams.windowed_counts(s, "ts", "60 days", ["event_type"], "7 days", "1 day")
-        streams.run_to_function(counted, each, f"{root}/checkpoint", "update")
+        streams.run_to_changes(counted, f"{root}/out", f"{root}/checkpoint")
 
     arriving(t, root, run)
-    return store.read("counts").select(*text_of("window_start", "window_end"), "event_type", "n")
+    counts = streams.newest_changes(t.spark, f"{root}/out", ["window_start", "window_end", "event_type"])
+    return counts.select(*text_of("window_start", "window_end"), "event_type", "n")
 
 
 @query("stream_time_in_state", "ST-05 W-08", f"""
-    select event_id, user_id, strftime(lag(ts) over (partition by user_id order by ts, event_id), '{TS}') as previous_at from {{events}}""")
+    select event_id, user_id, strftime(lag(ts) over (partition by user_id order by ts, event_id), '{TS}') as previous_at, false as is_late
+    from {{events}}""")
 def _(t):
     root = place(t)
-    store = TableStore(t.spark, f"{root}/tables")
-    each = streams.time_in_state(store, "timed", "user_id", ["ts", "event_id"], F.date_trunc("hour", "ts"))
-    arriving(t, root, lambda s: streams.run_to_function(s, each, f"{root}/checkpoint"))
-    batches = [store.read(f"timed/b{i}") for i in range(3)]
-    out = batches[0].unionByName(batches[1]).unionByName(batches[2])
-    return out.select("event_id", "user_id", *text_of("previous_at"))
+
+    def run(s):
+        streams.run_to_files(streams.time_in_state(s, "user_id", "ts", "event_id"), f"{root}/out", f"{root}/checkpoint")
+
+    arriving(t, root, run)
+    return t.spark.read.parquet(f"{root}/out").select("event_id", "user_id", *text_of("previous_at"), "is_late")
 
 
 @query("stream_sessions", "ST-05", f"""
@@ -114,10 +115,13 @@ def _(t):
                from {{events}} window w as (partition by user_id order by ts, event_id)),
     s as (select user_id, ts, sum(starts) over (partition by user_id order by ts, event_id) as sid from m),
     g as (select user_id, sid, min(ts) as a, max(ts) + interval 12 hour as b, count(*) as n from s group by 1, 2)
-    select user_id, strftime(a, '{TS}') as session_start, strftime(b, '{TS}') as session_end, n from g
-    where b <= (select max(ts) - interval 1 day from {{events}})""")
+    select user_id, strftime(a, '{TS}') as session_start, strftime(b, '{TS}') as session_end, n from g""")
 def _(t):
     root = place(t)
-    stream = streams.arrivals(t.spark, t.sf_dir, t.events.schema, "events.parquet")
-    streams.run_to_files(streams.sessions(stream, "ts", "1 day", "user_id", "12 hours"), f"{root}/out", f"{root}/checkpoint")
-    return t.spark.read.parquet(f"{root}/out").select("user_id", *text_of("session_start", "session_end"), "n")
+
+    def run(s):
+        streams.run_to_changes(streams.sessions(s, "ts", "1 day", "user_id", 12 * 3600), f"{root}/out", f"{root}/checkpoint")
+
+    arriving(t, root, run)
+    found = streams.newest_changes(t.spark, f"{root}/out", ["user_id", "session_start"]).filter("n > 0")
+    return found.select("user_id", *text_of("session_start", "session_end"), "n")
