@@ -34,7 +34,7 @@ def resolve_keys(df: DataFrame, lookups: list[tuple[DataFrame, str, str, str]])
 
 def orphans(child: DataFrame, parent: DataFrame, pairs: dict[str, str]) -> DataFrame:
     """Child rows with a non-null key that no parent has; ``pairs`` = {child column: parent column}."""
-    keys = parent.select(*[F.col(p).alias(f"_p_{c}") for c, p in pairs.items()]).distinct()
+    keys = parent.select(*[F.col(p).alias(f"_p_{c}") for c, p in pairs.items()])
     on = reduce(lambda a, b: a & b, [F.col(c) == F.col(f"_p_{c}") for c in pairs])
     return child.dropna(subset=list(pairs)).join(keys, on, "left_anti")
 
@@ -55,7 +55,7 @@ def not_in(df: DataFrame, column: str, values: DataFrame, value_col: str) -> Dat
     every row, and a null column is never accepted while there are values."""
     has_null = values.select(F.max(F.col(value_col).isNull()).cast("boolean")).scalar()
     is_empty = values.select(F.count(F.lit(1)) == 0).scalar()
-    keys = values.select(F.col(value_col).alias("_v")).distinct()
+    keys = values.select(F.col(value_col).alias("_v"))
     kept = df.join(keys, F.col(column) == F.col("_v"), "left_anti")
     return kept.filter(is_empty | (~F.coalesce(has_null, F.lit(False)) & F.col(column).isNotNull()))
 

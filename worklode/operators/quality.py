@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from worklode.operators import joins
-from worklode.operators.aggregates import count_where, duplicate_keys, guarded_ratio
+from worklode.operators.aggregates import count_where, guarded_ratio
 
 
 def out_of_range(col: str, low=None, high=None) -> Column:
@@ -72,47 +72,104 @@ class Rule:
     spec: dict = field(default_factory=dict)
 
 
+def _entry(rule: Rule, key: Column | None, when: Column, met: Column | bool, rows: int = 1) -> Column:
+    """One row's part in a rule, or null if it has none."""
+    return F.when(when, F.struct(
+        F.lit(rule.name).alias("rule_name"), F.lit(rule.kind).alias("kind"),
+        (F.lit(None).cast("array<string>") if key is None else key).alias("key"),
+        F.lit(rows).cast("long").alias("rows"), (met if isinstance(met, Column) else F.lit(met)).alias("met"),
+    ))
+
+
+def _present(columns: list[str]) -> Column:
+    return reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in columns])
+
+
+def _as_key(df: DataFrame, columns: list[str], other: DataFrame, other_columns: list[str]) -> tuple[Column, Column]:
+    """Key columns of two tables as texts of the type that an equality of the two would compare."""
+    shared = df.select(*columns).limit(0).union(other.select(*other_columns).limit(0)).schema
+    return tuple(
+        F.array(*[F.col(c).cast(f.dataType).cast("string") for c, f in zip(names, shared)]) for names in (columns, other_columns)
+    )
+
+
+def rule_entries(tables: dict[str, DataFrame], rules: list[Rule], as_of: str) -> dict[str, list[Column]]:
+    """What the rows of each table add to the rules: as the table a rule is about, and as its parent or child."""
+    entries: dict[str, list[Column]] = {}
+    always = F.lit(True)
+
+    def hit(text: str) -> Column:
+        return F.coalesce(F.expr(text), F.lit(False))
+
+    for rule in rules:
+        spec, own = rule.spec, entries.setdefault(rule.table, [])
+        if rule.kind == "where":
+            own.append(_entry(rule, None, hit(spec["bad"]), False))
+        elif rule.kind == "unique":
+            own.append(_entry(rule, F.array(*[F.col(k).cast("string") for k in spec["keys"]]), _present(spec["keys"]), False))
+        elif rule.kind == "fresh":
+            limit = F.lit(as_of).cast("timestamp") - F.expr(f"interval {spec['hours']} hours")
+            recent = F.coalesce(F.col(spec["at"]).cast("timestamp") >= limit, F.lit(False))
+            group = F.array(F.col(spec["per"]).cast("string")) if "per" in spec else None
+            own.append(_entry(rule, group, always, recent))
+        else:
+            if rule.kind == "orphan":
+                other, columns, other_columns = spec["parent"], list(spec["on"]), list(spec["on"].values())
+                asked = hit(spec["where"]) if "where" in spec else always
+            else:
+                other, columns, other_columns = spec["child"], [spec["key"]], [spec["child_key"]]
+                asked = hit(spec["bad"])
+            key, other_key = _as_key(tables[rule.table], columns, tables[other], other_columns)
+            own.append(_entry(rule, key, asked & _present(columns), False))
+            entries.setdefault(other, []).append(_entry(rule, other_key, _present(other_columns), True, rows=0))
+    return entries
+
+
 def run_rules(tables: dict[str, DataFrame], rules: list[Rule], as_of: str) -> DataFrame:
     """Failed records per rule.
 
-    * ``where``: rows meeting ``spec['bad']``.  All such rules of a table share one scan.
+    * ``where``: rows meeting ``spec['bad']``.
     * ``unique``: keys of ``spec['keys']`` that occur more than once.
-    * ``orphan``: rows without a parent, or without one of several parents.
+    * ``orphan``: rows without a parent, or (``any``) without one of several parents.
     * ``used``: rows meeting ``spec['bad']`` that a child still refers to.
     * ``fresh``: 1 if the newest ``spec['at']`` is older than ``spec['hours']`` (or there is none);
       with ``per``, the number of groups that are too old.
     * ``frame``: rows of ``spec['rows'](tables)`` for shapes of their own.
+
+    The first five kinds are one plan, whatever their number: every table is read once and gives entries
+    (rule, key, rows, met) for each rule it takes part in, as child or as parent.  Entries are folded per rule
+    and key, before the shuffle too, so that neither a hot key nor a predicate sends more than a row per task;
+    a key's verdict follows from its sums without a join.  ``any`` and ``frame`` rules have plans of their own.
     """
+    folded = [r for r in rules if r.kind != "frame" and "any" not in r.spec]
     parts = []
-    scans: dict[str, list[Rule]] = {}
     for rule in rules:
-        if rule.kind == "where":
-            scans.setdefault(rule.table, []).append(rule)
+        if rule in folded:
             continue
-        df, spec = tables.get(rule.table), rule.spec
-        if rule.kind == "unique":
-            bad = duplicate_keys(df, spec["keys"])
-        elif rule.kind == "orphan" and "any" in spec:
-            bad = joins.orphans_of_any(df, [(tables[p], c, k) for p, c, k in spec["any"]])
-        elif rule.kind == "orphan":
-            child = df.filter(F.expr(spec["where"])) if "where" in spec else df
-            bad = joins.orphans(child, tables[spec["parent"]], spec["on"])
-        elif rule.kind == "used":
-            child = tables[spec["child"]].select(F.col(spec["child_key"]).alias("_ck"))
-            bad = df.filter(F.expr(spec["bad"])).join(child, F.col(spec["key"]) == F.col("_ck"), "left_semi")
-        elif rule.kind == "fresh":
-            grouped = df.groupBy(spec["per"]) if "per" in spec else df.groupBy()
-            newest = grouped.agg(F.max(spec["at"]).alias("_newest"))
-            limit = F.lit(as_of).cast("timestamp") - F.expr(f"interval {spec['hours']} hours")
-            bad = newest.filter(F.col("_newest").isNull() | (F.col("_newest").cast("timestamp") < limit))
+        if rule.kind == "orphan":
+            bad = joins.orphans_of_any(tables[rule.table], [(tables[p], c, k) for p, c, k in rule.spec["any"]])
         else:
-            bad = spec["rows"](tables)
-        counted = bad.agg(F.count(F.lit(1)).alias("failed_records"))
-        parts.append(counted.select(F.lit(rule.name).alias("rule_name"), "failed_records"))
-    for table, listed in scans.items():
-        counts = tables[table].agg(*[count_where(F.coalesce(F.expr(r.spec["bad"]), F.lit(False))).alias(r.name) for r in listed])
-        pairs = F.explode(F.array(*[F.struct(F.lit(r.name).alias("rule_name"), F.col(r.name).alias("failed_records")) for r in listed]))
-        parts.append(counts.select(pairs.alias("_p")).select("_p.*"))
+            bad = rule.spec["rows"](tables)
+        parts.append(bad.agg(F.count(F.lit(1)).alias("failed_records")).select(F.lit(rule.name).alias("rule_name"), "failed_records"))
+    if folded:
+        scans = [
+            tables[name].select(F.explode(F.array(*listed)).alias("_e")).filter("_e is not null").select("_e.*")
+            for name, listed in rule_entries(tables, folded, as_of).items()
+        ]
+        # A rule whose tables are empty still has a verdict, so each one starts with an entry that counts nothing.
+        start = F.explode(F.array(*[_entry(r, None, F.lit(True), r.kind == "fresh" and "per" in r.spec, rows=0) for r in folded]))
+        scans.append(scans[0].sparkSession.range(1).select(start.alias("_e")).select("_e.*"))
+        keys = reduce(lambda a, b: a.unionByName(b), scans).groupBy("rule_name", "kind", "key").agg(
+            F.sum("rows").alias("rows"), F.max("met").alias("met")
+        )
+        failed = (
+            F.when(F.col("kind") == "where", F.col("rows"))
+            .when(F.col("kind") == "unique", (F.col("rows") > 1).cast("long"))
+            .when(F.col("kind") == "orphan", F.when(F.col("met"), 0).otherwise(F.col("rows")))
+            .when(F.col("kind") == "used", F.when(F.col("met"), F.col("rows")).otherwise(0))
+            .otherwise((~F.col("met")).cast("long"))
+        )
+        parts.append(keys.groupBy("rule_name").agg(F.sum(failed).alias("failed_records")))
     by_name = {r.name: r for r in rules}
     result = reduce(lambda a, b: a.unionByName(b), parts)
 
