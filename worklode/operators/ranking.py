@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+HOT = 100_000  # rows of a key that one task takes whole
+
 
 def best_per_key(df: DataFrame, keys: list[str], order: list[Column], n: int = 1) -> DataFrame:
     """First ``n`` rows per key.  The rank filter is pushed below the shuffle, so each task sends at
@@ -19,33 +23,49 @@ def top_n_with_ties(df: DataFrame, keys: list[str], order: list[Column], n: int,
     return df.withColumn(rank_col, F.dense_rank().over(window)).filter(F.col(rank_col) <= n)
 
 
+def spread(df: DataFrame, keys: list[str], bucket: Column, counted: DataFrame | None = None, **known: Column) -> DataFrame:
+    """``df`` with ``_hot`` (the key has more than HOT rows, or is null) and ``_bucket``, which is null unless hot.
+
+    ``counted``: rows to count the keys by, if others than ``df`` are cheaper.  ``known``: aggregates of these, added to the
+    rows of keys with more than HOT rows.
+    """
+    counts = (df if counted is None else counted).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), *[c.alias(n) for n, c in known.items()])
+    hot = counts.filter(F.col("_n") > HOT).drop("_n").withColumn("_hot", F.lit(True))
+    missing = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+    # One row per hot key: at most one for every HOT rows.
+    marked = df.join(F.broadcast(hot), keys, "left").withColumn("_hot", F.coalesce("_hot", missing))
+    return marked.withColumn("_bucket", F.when(F.col("_hot"), bucket))
+
+
 def shifted(
     df: DataFrame, keys: list[str], order: list[str], values: dict[str, str], bucket: Column, back: bool = True
 ) -> DataFrame:
     """``lag`` (or ``lead`` if not ``back``) of ``values`` = {new column: source column} per key.
 
-    Rows of one key are spread over ``bucket`` (a coarsening of the first order column, such as its
+    Rows of a key with more than HOT rows are spread over ``bucket`` (a coarsening of the first order column, such as its
     month).  Inside a bucket this is a plain window; the row at a bucket's edge takes its neighbour
     from a summary of one row per key and bucket.  A key holding a third of all rows is so split over
-    as many tasks as it has buckets.
+    as many tasks as it has buckets.  All other keys are one bucket, so their rows are shuffled once.
     """
-    df = df.withColumn("_bucket", bucket)
-    row_order = [F.col(c) if back else F.col(c).desc() for c in order]
-    bucket_order = F.col("_bucket") if back else F.col("_bucket").desc()
+    return shift_spread(spread(df, keys, bucket), keys, order, values, bucket, back).drop("_hot", "_bucket")
+
+
+def shift_spread(
+    df: DataFrame, keys: list[str], order: list[str], values: dict[str, str], bucket: Column, back: bool = True
+) -> DataFrame:
+    """``shifted`` for rows that ``spread`` has marked; the marks stay, so a second shift needs no further shuffle."""
+    lot = [*keys, "_hot", "_bucket"]
+    move, edge = (F.lag, F.max_by) if back else (F.lead, F.min_by)
     carried = F.struct(*[F.col(src).alias(new) for new, src in values.items()])
-    position = F.struct(*[F.col(c) for c in order])
-    edge = (F.max_by if back else F.min_by)(carried, position)
-    inside = Window.partitionBy(*keys, "_bucket").orderBy(*row_order)
-    across = Window.partitionBy(*keys).orderBy(bucket_order)
-    edges = (
-        df.groupBy(*keys, "_bucket")
-        .agg(edge.alias("_edge"))
-        .withColumn("_carry", F.lag("_edge").over(across))
-        .drop("_edge")
-    )
-    marked = df.withColumn("_near", F.lag(carried).over(inside))
-    joined = marked.join(edges, [*keys, "_bucket"], "left").withColumn("_pick", F.coalesce("_near", "_carry"))
-    return joined.select(*df.drop("_bucket").columns, *[F.col(f"_pick.{new}").alias(new) for new in values])
+    inside = Window.partitionBy(*lot).orderBy(*order)
+    across = Window.partitionBy(*keys, "_hot").orderBy("_bucket")
+    near = move(carried).over(inside)
+    if not back:  # rows without a bucket are not followed by those of a bucket
+        near = F.when(bucket.isNotNull() | F.lead(bucket).over(inside).isNull(), near)
+    ends = df.filter("_hot").groupBy(*lot).agg(edge(carried, F.struct(*order)).alias("_edge"))
+    edges = ends.withColumn("_carry", move("_edge").over(across)).drop("_edge")
+    joined = df.withColumn("_near", near).join(edges, lot, "left").withColumn("_pick", F.coalesce("_near", "_carry"))
+    return joined.select(*df.columns, *[F.col(f"_pick.{new}").alias(new) for new in values])
 
 
 def carried_forward(df: DataFrame, keys: list[str], order: list[str], value: str, bucket: Column, out: str) -> DataFrame:

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from worklode.operators.ranking import shifted
+from worklode.operators.ranking import shift_spread, shifted, spread
 
 
 def apply_history(
@@ -20,26 +20,40 @@ def apply_history(
     changes nothing, and each remaining row is closed by the next.  Where a closed version ends and none
     starts, the key is absent until the next row, so gaps stay gaps.  Keys without changes pass through.
     ``bucket`` coarsens ``effective_from`` to spread hot keys.
+
+    Versions, their ends and changes are shuffled once, by key; all comparisons are windows over that.
     """
     columns = [key, *attributes, hash_col, "effective_from"]
     whole = [*columns, "effective_to", "is_current"]
-    touched = changes.select(key).distinct()
-    untouched = history.join(touched, key, "left_anti").select(*whole)
-    versions = history.join(touched, key, "left_semi")
-    starts = versions.select(*columns, F.lit(1).alias("_kind"))
-    ends = versions.filter(F.col("effective_to").isNotNull()).select(key, F.col("effective_to").alias("effective_from"))
-    gaps = ends.join(starts.select(key, "effective_from"), [key, "effective_from"], "left_anti").distinct()
-    nothing = [F.lit(None).cast(history.schema[c].dataType).alias(c) for c in [*attributes, hash_col]]
-    gaps = gaps.select(key, *nothing, "effective_from", F.lit(0).alias("_kind"))
-    incoming = changes.select(key, *attributes, hash_col, F.col(at).alias("effective_from"), F.lit(2).alias("_kind"))
+    blank = {c: F.lit(None).cast(history.schema[c].dataType) for c in [*attributes, hash_col, "effective_to", "is_current"]}
+    own = [F.col("effective_to").alias("_to"), F.col("is_current").alias("_now")]
+    none = [blank["effective_to"].alias("_to"), blank["is_current"].alias("_now")]
+    keyed = history.filter(F.col(key).isNotNull())  # versions without a key have no changes
+    starts = keyed.select(*columns, F.lit(1).alias("_kind"), *own)
+    nothing = [blank[c].alias(c) for c in [*attributes, hash_col]]
+    ends = keyed.filter(F.col("effective_to").isNotNull()).select(key, *nothing, F.col("effective_to").alias("effective_from"), F.lit(0).alias("_kind"), *none)
+    incoming = changes.select(key, *attributes, hash_col, F.col(at).alias("effective_from"), F.lit(2).alias("_kind"), *none)
+    counted = keyed.select(key, F.lit(False).alias("_c")).union(changes.select(key, F.lit(True).alias("_c")))
+    events = spread(starts.unionByName(ends).unionByName(incoming), [key], bucket, counted, _changed=F.max("_c"))
+
     order = ["effective_from", "_kind", hash_col]
-    events = gaps.unionByName(starts).unionByName(incoming)
-    line = shifted(events, [key], order, {"_prev": hash_col, "_prev_kind": "_kind"}, bucket)
+    lot = [key, "_hot", "_bucket"]
+    every = (Window.unboundedPreceding, Window.unboundedFollowing)
+    of_key = Window.partitionBy(*lot).orderBy(*order).rowsBetween(*every)
+    of_time = Window.partitionBy(*lot, "effective_from").orderBy(*order[1:]).rowsBetween(*every)
+    is_change = F.col("_kind") == 2
+    moved = F.when(F.col(key).isNull(), is_change).when(F.col("_hot"), F.col("_changed")).otherwise(F.max(is_change).over(of_key))
+    starting = F.max(F.col("_kind") == 1).over(of_time)
+    events = events.withColumns({"_moved": moved, "_starting": starting}).filter((F.col("_kind") > 0) | (F.col("_moved") & ~F.col("_starting")))
+    line = shift_spread(events.drop("_changed", "_starting"), [key], order, {"_prev": hash_col, "_prev_kind": "_kind"}, bucket)
     first = F.col("_prev_kind").isNull() | (F.col("_prev_kind") == 0) | (F.col("_kind") == 0)
-    kept = line.filter(first | ~F.col("_prev").eqNullSafe(F.col(hash_col)))
-    timed = shifted(kept, [key], order, {"effective_to": "effective_from"}, bucket, back=False).filter("_kind > 0")
-    made = timed.select(*columns, "effective_to", F.col("effective_to").isNull().alias("is_current"))
-    return untouched.unionByName(made)
+    kept = line.filter(~F.col("_moved") | first | ~F.col("_prev").eqNullSafe(F.col(hash_col))).drop("_prev", "_prev_kind")
+    timed = shift_spread(kept, [key], order, {"_next": "effective_from"}, bucket, back=False).filter("_kind > 0")
+    made = timed.select(
+        *columns, F.when(F.col("_moved"), F.col("_next")).otherwise(F.col("_to")).alias("effective_to"),
+        F.when(F.col("_moved"), F.col("_next").isNull()).otherwise(F.col("_now")).alias("is_current"),
+    )
+    return history.filter(F.col(key).isNull()).select(*whole).unionByName(made)
 
 
 def change_kind(history: DataFrame, staged: DataFrame, key: str, hash_col: str) -> DataFrame:

@@ -1,7 +1,8 @@
 """The star schema from end to end: inferred members, job versions, the skill bridge and the posting fact.
 
 Each build takes the state before it and a load, and returns the state after it.  The same load again changes nothing:
-keys belong to versions and pairs, not to runs.  Pass states that were written as tables: a build reads them several times.
+keys belong to versions and pairs, not to runs.  Pass states that were written as tables, or that a build here returned: a build
+reads them several times.
 """
 
 from __future__ import annotations
@@ -50,9 +51,11 @@ def job_dimension(existing: DataFrame, jobs: DataFrame, attributes: list[str], b
     later = F.when(F.col("_from") >= F.col("updated_at"), F.col("_from"))
     following = jobs.select("job_id", "updated_at").join(versions, "job_id").groupBy("job_id").agg(F.min_by("_h", later).alias("_next"))
     news = jobs.join(following, "job_id", "left").filter(~F.col("record_hash").eqNullSafe(F.col("_next")) | F.col("_next").isNull())
-    changes = news.select("job_id", *attributes, F.lit(None).cast("bigint").alias("job_sk"), "record_hash", "updated_at")
-    line = write_table(apply_history(existing, write_table(changes), "job_id", [*attributes, "job_sk"], "record_hash", "updated_at", bucket))
-    top = F.coalesce(existing.select(F.max("job_sk")).scalar(), F.lit(0))
+    changes = write_table(news.select("job_id", *attributes, F.lit(None).cast("bigint").alias("job_sk"), "record_hash", "updated_at"))
+    if changes.isEmpty():  # a load given again: the history has no reason to move
+        return existing
+    line = write_table(apply_history(existing, changes, "job_id", [*attributes, "job_sk"], "record_hash", "updated_at", bucket))
+    top = existing.agg(F.coalesce(F.max("job_sk"), F.lit(0))).first()[0]
     fresh = line.filter(F.col("job_sk").isNull()).drop("job_sk")
     return line.filter(F.col("job_sk").isNotNull()).unionByName(dense_ids(fresh, ["job_id", "effective_from", "record_hash"], "job_sk", top))
 

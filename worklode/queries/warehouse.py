@@ -67,11 +67,10 @@ BUILD_SQL = f"""
 
 def resolved(t, jobs, companies):
     words = literal_dictionary(SECTORS, ["sector_id", "words"])
-    scored = classify.score_sectors(jobs, "job_id", "title", "description", words, threshold=2).select(
-        "job_id", F.col("sector_id").cast("int").alias("sector_sk")
-    )
+    scored = classify.score_sectors(jobs, "job_id", "title", "description", words, threshold=2)
+    needed = scored.select("job_id", "company_name", "location_name", "title", "record_hash", "updated_at", F.col("sector_id").cast("int").alias("sector_sk"))
     lookups = [(companies, "company_name", "company_sk", "company_sk"), (t.sql(PLACES), "location_name", "location_sk", "location_sk")]
-    return write_table(joins.resolve_keys(jobs, lookups).join(scored, "job_id"))
+    return write_table(joins.resolve_keys(needed, lookups).select("job_id", *ATTRIBUTES, "record_hash", "updated_at"))
 
 
 def companies(t):
@@ -90,10 +89,10 @@ def job_dimensions(t):
         "job_id", *ATTRIBUTES, F.lit(0).cast("bigint").alias("job_sk"), "record_hash", F.col("updated_at").alias("effective_from"),
         F.col("updated_at").alias("effective_to"), F.lit(True).alias("is_current"),
     )
-    states = [write_table(warehouse.job_dimension(nothing, first, ATTRIBUTES, month))]
+    states = [warehouse.job_dimension(nothing, first, ATTRIBUTES, month)]
     second = resolved(t, t.sql(SECOND), after)
-    states.append(write_table(warehouse.job_dimension(states[0], second, ATTRIBUTES, month)))
-    states.append(write_table(warehouse.job_dimension(states[1], second, ATTRIBUTES, month)))
+    states.append(warehouse.job_dimension(states[0], second, ATTRIBUTES, month))
+    states.append(warehouse.job_dimension(states[1], second, ATTRIBUTES, month))
     return states
 
 
