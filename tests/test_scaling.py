@@ -67,3 +67,21 @@ def test_numbering_shuffles_nothing_after_its_ranges_are_written(spark):
     made = keys.dense_ids(spark.range(1000).select((-F.col("id")).alias("a"), F.lit("x" * 50).alias("b")), ["a"], "n")
     assert [r.n for r in made.orderBy("a").collect()] == list(range(1, 1001))
     assert "hashpartitioning(_range" not in made.filter("b <> ''")._jdf.queryExecution().executedPlan().toString().split("BroadcastExchange")[0]
+
+
+def test_evidence_of_a_bridge_is_read_once(spark, monkeypatch):
+    dim = spark.createDataFrame([(1, 1, day(0), None, True)], "job_id long, job_sk long, effective_from timestamp, effective_to timestamp, is_current boolean")
+    seen = spark.sparkContext.accumulator(0)
+
+    def told(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    evidence = spark.createDataFrame([(1, "a", 0.5, "R", 1), (1, "b", 0.5, "R", 1)], "job_id long, skill_name string, confidence double, evidence_type string, source_priority int")
+    evidence = evidence.coalesce(1).mapInArrow(told, evidence.schema)
+    skills = spark.createDataFrame([(1, "A"), (2, "B ")], "skill_sk int, skill_name string")
+    empty = spark.createDataFrame([], "bridge_sk long, job_sk long, skill_sk int, confidence double, evidence_type string, source_priority int, effective_from timestamp, effective_to timestamp, is_current boolean")
+    got = warehouse.skill_bridge(empty, evidence, dim, skills).collect()
+    assert sorted((r.bridge_sk, r.skill_sk) for r in got) == [(1, 1), (2, 2)]
+    assert seen.value == 2

@@ -35,8 +35,9 @@ def extend_keys(existing: DataFrame, incoming: DataFrame, natural: list[str], id
 
     ``existing`` holds ``natural`` + ``id_col``; ``incoming`` must be unique on ``natural``.
     """
-    known = existing.select(*natural, id_col)
-    kept = incoming.join(known, natural, "inner")
-    fresh = incoming.join(known, natural, "left_anti")
+    known = existing.select(*natural, id_col, F.lit(True).alias("_known"))
+    # Written once, as rows with and without a key go on from it.
+    keyed = write_table(incoming.join(known, natural, "left"))
+    fresh = keyed.filter("_known is null").drop("_known", id_col)
     top = F.coalesce(known.select(F.max(id_col)).scalar(), F.lit(0))
-    return kept.unionByName(dense_ids(fresh, natural, id_col, top))
+    return keyed.filter("_known").drop("_known").unionByName(dense_ids(fresh, natural, id_col, top))

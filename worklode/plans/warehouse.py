@@ -78,11 +78,12 @@ def skill_bridge(bridge: DataFrame, evidence: DataFrame, jobs: DataFrame, skills
     told = evidence.withColumn("_name", F.lower(F.trim("skill_name"))).join(names, "_name").join(current, "job_id")
     rest = ["evidence_type", "confidence", "source_priority", "effective_from"]
     rank = F.struct((-F.col("confidence")).alias("c"), F.col("source_priority").alias("p"), F.col("evidence_type").alias("t"))
-    best = told.groupBy("job_sk", "skill_sk").agg(F.min_by(F.struct(*rest), rank).alias("_b")).select("job_sk", "skill_sk", "_b.*")
+    # A version belongs to one job: with job_id in the key the rows stay where the join by job_id has put them.
+    best = told.groupBy("job_id", "job_sk", "skill_sk").agg(F.min_by(F.struct(*rest), rank).alias("_b")).select("job_sk", "skill_sk", "_b.*")
     keyed = extend_keys(bridge, best, ["job_sk", "skill_sk"], "bridge_sk").withColumns(
         {"effective_to": F.lit(None).cast(bridge.schema["effective_to"].dataType), "is_current": F.lit(True)}
     )
-    untouched = state.join(best.select("job_sk", "skill_sk"), ["job_sk", "skill_sk"], "left_anti")
+    untouched = state.join(keyed.select("job_sk", "skill_sk"), ["job_sk", "skill_sk"], "left_anti")
     return untouched.select(*columns).unionByName(keyed.select(*columns))
 
 

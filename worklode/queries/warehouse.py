@@ -139,7 +139,7 @@ BRIDGE_SQL = BUILD_SQL + f""",
     from whole w join dim d on d.job_sk = w.job_sk""")
 def _(t):
     dims = job_dimensions(t)
-    evidence, skills = t.sql(EVIDENCE), t.sql(SKILLS)
+    evidence, skills = write_table(t.sql(EVIDENCE)), t.sql(SKILLS)
     nothing = dims[0].join(evidence, "job_id").limit(0).select(
         F.lit(0).cast("bigint").alias("bridge_sk"), "job_sk", F.lit(0).alias("skill_sk"),
         "confidence", "evidence_type", "source_priority", "effective_from", "effective_to", "is_current",
