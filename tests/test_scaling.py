@@ -85,3 +85,23 @@ def test_evidence_of_a_bridge_is_read_once(spark, monkeypatch):
     got = warehouse.skill_bridge(empty, evidence, dim, skills).collect()
     assert sorted((r.bridge_sk, r.skill_sk) for r in got) == [(1, 1), (2, 2)]
     assert seen.value == 2
+
+
+def test_postings_of_a_load_are_read_once(spark):
+    dim = spark.createDataFrame([(1, 7, 1, 1, 1, True)], "job_id long, job_sk long, company_sk long, location_sk int, sector_sk int, is_current boolean")
+    seen = spark.sparkContext.accumulator(0)
+
+    def read(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    jobs = spark.createDataFrame([(1, "s", day(0), True, False)], "job_id long, source_name string, posted_at timestamp, is_active boolean, soft_delete boolean")
+    jobs = jobs.coalesce(1).mapInArrow(read, jobs.schema)
+    changes = spark.createDataFrame([], "job_id long, change_type string, changed_at timestamp, change_id long")
+    sources = spark.createDataFrame([("s", 3)], "source_name string, source_sk long")
+    flags = "active_flag boolean, is_new_job boolean, is_update boolean, is_soft_delete boolean, is_restore boolean"
+    fact = spark.createDataFrame([], f"job_sk long, company_sk long, location_sk int, sector_sk int, source_sk long, posting_date_sk int, {flags}, fact_sk long")
+    got = warehouse.posting_fact(fact, jobs, changes, dim, sources).collect()
+    assert [(r.fact_sk, r.job_sk, r.source_sk) for r in got] == [(1, 7, 3)]
+    assert seen.value == 1

@@ -98,12 +98,12 @@ def posting_fact(fact: DataFrame, jobs: DataFrame, changes: DataFrame, dimension
     kind = F.coalesce("change_type", F.lit("INSERT"))
     current = dimension.filter("is_current").select("job_id", "job_sk", "company_sk", "location_sk", "sector_sk")
     events = resolve_keys(jobs, [(sources, "source_name", "source_sk", "source_sk")]).join(current, "job_id").join(latest, "job_id", "left")
-    rows = events.select(
+    rows = write_table(events.select(
         "job_sk", "company_sk", "location_sk", "sector_sk", "source_sk",
         F.coalesce(date_key(F.col("posted_at")), F.lit(UNKNOWN_KEY)).alias("posting_date_sk"), F.col("is_active").alias("active_flag"),
         (kind == "INSERT").alias("is_new_job"), (kind == "UPDATE").alias("is_update"),
         F.col("soft_delete").alias("is_soft_delete"), (kind == "RESTORE").alias("is_restore"),
-    )
+    ))
     new_flags = rows.select("job_sk", F.struct("active_flag", "is_soft_delete").alias("_new"))
     updated = fact.join(new_flags, "job_sk", "left").withColumns(
         {c: F.when(F.col("_new").isNotNull(), F.col(f"_new.{c}")).otherwise(F.col(c)) for c in ("active_flag", "is_soft_delete")}
