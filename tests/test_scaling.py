@@ -105,3 +105,11 @@ def test_postings_of_a_load_are_read_once(spark):
     got = warehouse.posting_fact(fact, jobs, changes, dim, sources).collect()
     assert [(r.fact_sk, r.job_sk, r.source_sk) for r in got] == [(1, 7, 3)]
     assert seen.value == 1
+
+
+def test_facts_of_ontology_edges_are_dealt_into_more_parts(spark, monkeypatch):
+    monkeypatch.setattr(graph, "PART_ROWS", 100)
+    facts = spark.range(1000).select(F.col("id").alias("job_sk"), (F.col("id") % 3).alias("a"), (F.col("id") % 2).alias("b"))
+    got = graph.typed_edges(facts, {"X": ("a", "b")})
+    assert "RepartitionByExpression" in plan(got) and ", 11" in plan(got)
+    assert sorted((r.source, r.target, r.job_count) for r in got.collect()) == sorted((str(a), str(b), sum(i % 3 == a and i % 2 == b for i in range(1000))) for a in range(3) for b in range(2))

@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from worklode.operators.aggregates import count_where
 from worklode.operators.ranking import best_per_key
 
+PART_ROWS = 250_000  # facts whose edges one task makes unique
+
 
 def co_occurrence(pairs: DataFrame, group: str, item: str, min_count: int = 5, min_support: float = 0.01) -> DataFrame:
     """(item_a < item_b, pair_count, support) for items that share enough groups.
@@ -83,7 +85,14 @@ def node_metrics(edges: DataFrame, types: list[str]) -> DataFrame:
 
 
 def typed_edges(facts: DataFrame, kinds: dict[str, tuple[str, str]]) -> DataFrame:
-    """Ontology edges {type: (from column, to column)} with the number of postings behind each."""
+    """Ontology edges {type: (from column, to column)} with the number of postings behind each.
+
+    Facts are dealt into as many parts as their number asks for, so what one task makes unique does not grow with them.
+    """
+    columns = list(dict.fromkeys(["job_sk", *[c for ends in kinds.values() for c in ends]]))
+    facts = facts.select(*columns)
+    # By posting, as the edges of a posting are made unique: that needs no further shuffle.
+    facts = facts.repartition(facts.count() // PART_ROWS + 1, "job_sk")
     pairs = [F.struct(F.lit(n).alias("edge_type"), F.col(a).cast("string").alias("source"), F.col(b).cast("string").alias("target"))
              for n, (a, b) in kinds.items()]
     rows = facts.select("job_sk", F.explode(F.array(*pairs)).alias("_e")).select("job_sk", "_e.*").dropna()
