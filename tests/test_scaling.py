@@ -113,3 +113,10 @@ def test_facts_of_ontology_edges_are_dealt_into_more_parts(spark, monkeypatch):
     got = graph.typed_edges(facts, {"X": ("a", "b")})
     assert "RepartitionByExpression" in plan(got) and ", 11" in plan(got)
     assert sorted((r.source, r.target, r.job_count) for r in got.collect()) == sorted((str(a), str(b), sum(i % 3 == a and i % 2 == b for i in range(1000))) for a in range(3) for b in range(2))
+
+
+def test_texts_are_searched_once_for_sectors(spark):
+    jobs = spark.createDataFrame([(1, "Data BANK", "x"), (2, "x", "NURSE"), (3, None, "x"), (4, "x", None)], "id int, c string, t string")
+    found = classify.assign_sector(jobs, "c", "t").filter("sector = 'unknown' or sector_confidence < 0.8")
+    assert plan(found).lower().count("lower(") == 2
+    assert sorted((r.id, r.sector, r.assignment_method) for r in found.collect()) == [(2, "healthcare", "title_keyword"), (3, "unknown", "no_match"), (4, "unknown", "no_match")]

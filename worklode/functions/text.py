@@ -87,9 +87,12 @@ def location_parts(location: Column) -> list[Column]:
 
 def first_group_hit(text: Column, groups: dict[str, list[str]]) -> Column:
     """Name of the first group with a word contained in the text (order of the groups decides)."""
-    lowered = F.lower(text)
-    hits = [(name, reduce(lambda a, b: a | b, [lowered.contains(w) for w in words])) for name, words in groups.items()]
-    return reduce(lambda acc, hit: acc.when(hit[1], hit[0]), hits, F.when(F.lit(False), ""))
+
+    def hit(lowered: Column) -> Column:
+        tests = [(name, reduce(lambda a, b: a | b, [lowered.contains(w) for w in words])) for name, words in groups.items()]
+        return reduce(lambda acc, test: acc.when(test[1], test[0]), tests, F.when(F.lit(False), ""))
+
+    return F.transform(F.array(F.lower(text)), hit)[0]  # bound, so the text is lowered once and not once per word
 
 
 def count_char(text: Column, char: str) -> Column:

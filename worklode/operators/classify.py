@@ -15,11 +15,12 @@ def assign_sector(
     df: DataFrame, company: str, title: str,
     company_words: dict[str, list[str]] = fixed.COMPANY_SECTOR_WORDS, title_words: dict[str, list[str]] = fixed.TITLE_SECTOR_WORDS,
 ) -> DataFrame:
-    """Sector by company name, else by title, else unknown; with method and confidence."""
-    lowered = df.withColumns({"_company": F.lower(company), "_title": F.lower(title)})
-    found = lowered.withColumns(
-        {"_by_company": first_group_hit(F.col("_company"), company_words), "_by_title": first_group_hit(F.col("_title"), title_words)}
-    )
+    """Sector by company name, else by title, else unknown; with method and confidence.
+
+    The hits are generated, not projected, so filters on the outcome do not search the texts again.
+    """
+    hits = F.struct(first_group_hit(F.col(company), company_words).alias("_by_company"), first_group_hit(F.col(title), title_words).alias("_by_title"))
+    found = df.select("*", F.inline(F.array(hits)))
     by_company, by_title = F.col("_by_company").isNotNull(), F.col("_by_title").isNotNull()
     return found.withColumns(
         {
@@ -28,7 +29,7 @@ def assign_sector(
             "sector_confidence": F.when(by_company, fixed.COMPANY_SECTOR_CONFIDENCE)
             .when(by_title, fixed.TITLE_SECTOR_CONFIDENCE).otherwise(0.0),
         }
-    ).drop("_company", "_title", "_by_company", "_by_title")
+    ).drop("_by_company", "_by_title")
 
 
 def score_sectors(df: DataFrame, key: str, title: str, description: str, dictionary: DataFrame, threshold: int = 1) -> DataFrame:
