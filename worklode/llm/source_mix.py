@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from worklode.llm.common import cut_lineage, keep_rows, map_rows, words_of
+from worklode.llm.common import arrow_schema, cut_lineage, keep_rows, map_batches, map_rows, record_batch, words_of
 
 SAMPLE = 3000  # labelled documents of a domain that the classifier is fitted on, about
 WORDS = 256  # words it knows
@@ -30,6 +30,7 @@ ROUNDS = 100
 _MARKS = bytes.maketrans(b".,;:!?\"'()", b" " * 10)
 NEAR_ONE = 0.95  # rates of drawn documents that count as one
 NEAR = 2e-5  # the fit ends when no total moves by more than this part of all tokens
+SHARE = 50_000  # rows of counts that a task of a step takes, about
 
 
 def terms(text: str | None) -> set[bytes]:
@@ -155,21 +156,25 @@ class Rates:
 
 def fit_rates(predicted: DataFrame, targets: list[float], most: float | None = None) -> Rates:
     """Fit rates to ``targets``: the tokens wanted of each domain, as parts of all tokens there are."""
-    counts = predicted.filter("n_tokens > 0").groupBy("parts").agg(F.sum("n_tokens").alias("n"))
-    counts = cut_lineage(counts)
+    counts = cut_lineage(predicted.filter("n_tokens > 0").groupBy("parts").agg(F.sum("n_tokens").alias("n")))
     rates = Rates(np.array(targets, float), most, ())
-    tokens = counts.agg(F.sum("n")).first()[0]
+    tokens, size = counts.agg(F.sum("n"), F.count("*")).first()
     if not tokens:
         return rates
+    # The steps are many and read little each: their tasks are as many as the rows ask for, not as the shuffle had.
+    counts = cut_lineage(counts.coalesce(-(-size // SHARE)))
+    schema = "ahead array<double>, now array<double>"
+    arrow = arrow_schema(schema)
     for _ in range(ROUNDS):
 
-        def sums(columns, rates=rates):
-            p = np.array(columns[0], float).reshape(len(columns[0]), -1) / STEPS
-            rate, ahead = rates.steps(p)
-            n = np.array([float(x) for x in columns[1]]) / tokens
-            return [[(n * ahead) @ p], [(n * rate) @ p]]
+        def sums(batches, rates=rates):
+            for batch in batches:
+                p = batch["parts"].flatten().to_numpy().astype(float).reshape(-1, len(targets)) / STEPS
+                rate, ahead = rates.steps(p)
+                n = batch["n"].to_numpy().astype(float) / tokens
+                yield record_batch([[(n * ahead) @ p], [(n * rate) @ p]], arrow)
 
-        rows = map_rows(counts, sums, "ahead array<double>, now array<double>")
+        rows = map_batches(counts, sums, schema)
         k = range(len(targets))
         total = rows.agg(*[F.sum(F.col(c)[i]).alias(f"{c}{i}") for c in ("ahead", "now") for i in k]).first()
         ahead = np.array([total[f"ahead{i}"] for i in k])
